@@ -6,9 +6,10 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm import bpe
+from quernstone.llm import bpe, transducer
 from quernstone.llm.common import documents, tokenizer_path
 
 
@@ -27,8 +28,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), per_row=_digests, schema=DIGESTS)
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = transducer.count_tokens(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op8_token_counts": op8_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}
