@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm import bpe, transducer
+from quernstone.llm import bpe, exact, transducer
 from quernstone.llm.common import documents, tokenizer_path
 
 
@@ -28,6 +28,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), per_row=_digests, schema=DIGESTS)
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.deduplicate(documents(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = transducer.count_tokens(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
@@ -35,7 +39,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op6_exact_dedup": op6_exact_dedup,
     "op8_token_counts": op8_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_dedup": exact.SQL,
+}
