@@ -71,7 +71,16 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = shared_folder(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    read = spark.read.schema(frame.schema).parquet(path)
+    read.settled_at = path
+    return read
+
+
+def discard(*settled: DataFrame) -> None:
+    """Deletes the folders of settled frames that no later plan reads."""
+    for frame in settled:
+        path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(frame.settled_at)
+        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def canonical(value: object) -> str:
