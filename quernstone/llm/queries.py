@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm import bpe, exact, neardup, transducer
+from quernstone.llm import bpe, exact, neardup, quality, transducer
 from quernstone.llm.common import documents, tokenizer_path
 
 
@@ -28,6 +28,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), per_row=_digests, schema=DIGESTS)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.train(docs, labels.where(~quality.held_out(F.col("doc_id"), 5, 0)))
+    return quality.score(docs, model).select("doc_id", quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
 
@@ -43,6 +49,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
     "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_token_counts": op8_token_counts,
