@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm import bpe, exact, neardup, quality, transducer
+from quernstone.llm import bpe, exact, neardup, ordermin, quality, transducer
 from quernstone.llm.common import documents, tokenizer_path
 
 
@@ -47,12 +47,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermin.compare_with_next(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
     "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_token_counts": op8_token_counts,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
