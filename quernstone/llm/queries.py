@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm import bpe, exact, neardup, ordermin, quality, transducer
+from quernstone.llm import bpe, exact, maxent, neardup, ordermin, quality, transducer
 from quernstone.llm.common import documents, tokenizer_path
 
 
@@ -42,6 +42,13 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(documents(spark, sf_dir))
 
 
+def op7_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held = quality.held_out(F.col("doc_id"), 7, 2)
+    scored = maxent.score(docs, maxent.Trained(docs.where(~held)))
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = transducer.count_tokens(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
@@ -56,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op4_near_dedup": op4_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_maxent": op7_maxent,
     "op8_token_counts": op8_token_counts,
     "op10_order_minhash": op10_order_minhash,
 }
