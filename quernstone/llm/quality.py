@@ -152,6 +152,22 @@ def score(frame: DataFrame, model: SubwordClassifier, id_col: str = "doc_id", te
     return source.mapInArrow(run, f"`{id_col}` long, score double")
 
 
+def select(frame: DataFrame, model: SubwordClassifier, least: float, text_col: str = "text") -> DataFrame:
+    """The rows that score at least this, with all their columns, in one pass without a shuffle."""
+    shared = frame.sparkSession.sparkContext.broadcast((model.table, model.bias))
+    at = frame.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, bias = shared.value
+        for batch in batches:
+            named = pa.RecordBatch.from_arrays(batch.columns, names=[f"c{i}" for i in range(batch.num_columns)])
+            for part, texts in text_chunks(named, f"c{at}", budget=2 << 20):
+                kept = part.filter(pa.array(scores(texts, table, bias) >= least))
+                yield pa.RecordBatch.from_arrays(kept.columns, schema=batch.schema)
+
+    return frame.mapInArrow(run, frame.schema)
+
+
 def held_out(column: F.Column, modulus: int, remainder: int) -> F.Column:
     """Whether the CRC-32 of an id as text leaves this remainder."""
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm import bpe, exact, maxent, neardup, ordermin, quality, transducer
+from quernstone.llm import bpe, chat, exact, maxent, mixing, neardup, ordermin, quality, transducer, warc
 from quernstone.llm.common import documents, tokenizer_path
 
 
@@ -34,10 +34,25 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
 
 
+#: The tools that conversations may call.
+TOOLS = {
+    "search": {"type": "object", "properties": {"query": {"type": "string"}, "limit": {"type": "integer"}}, "required": ["query"], "additionalProperties": False},
+    "calculate": {"type": "object", "properties": {"expression": {"type": "string"}}, "required": ["expression"], "additionalProperties": False},
+}
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"), TOOLS)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(documents(spark, sf_dir))
 
@@ -54,6 +69,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a replica with planted damage against the records of all pages."""
+    manifest = warc.records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return warc.report(manifest, warc.damaged(manifest, F.pmod("id", F.lit(101)) == 7, F.pmod("id", F.lit(211)) == 5))
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordermin.compare_with_next(documents(spark, sf_dir))
 
@@ -61,13 +82,17 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
+    "op3_mixing": op3_mixing,
     "op4_near_dedup": op4_near_dedup,
+    "op5_chat": op5_chat,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_maxent": op7_maxent,
     "op8_token_counts": op8_token_counts,
+    "op9_warc": op9_warc,
     "op10_order_minhash": op10_order_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_exact_dedup": exact.SQL,
+    "op9_warc": warc.SQL,
 }
