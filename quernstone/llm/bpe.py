@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quernstone.llm.common import read_vocabulary, text_chunks
+from quernstone.llm.common import only, read_vocabulary, text_chunks
 
 #: Fixed value: the split of the byte-level pre-tokenizer.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -187,6 +187,7 @@ def codec_of(data: bytes) -> RankArrayCodec:
 
 def encode(frame: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", per_row: Callable[[RankArrayCodec, str, list[int]], dict] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Each row's id and token ids (`ids` array<int>); or, with per_row, the columns that it makes of codec, text and ids."""
+    frame = only(frame, id_col, text_col)
     data = frame.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     source = frame.select(frame[f"`{id_col}`"].alias("id"), frame[f"`{text_col}`"].cast("string").alias("text"))
     made = schema or T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -208,6 +209,7 @@ def encode(frame: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
 
 def decode(frame: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """Each row's id and the text of its token ids; null ids decode to the empty text."""
+    frame = only(frame, id_col, ids_col)
     data = frame.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     source = frame.select(frame[f"`{id_col}`"].alias("id"), frame[f"`{ids_col}`"].alias("ids"))
     out = T.StructType([T.StructField(id_col, frame.schema[id_col].dataType), T.StructField("text", T.StringType())])

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import canonical
+from quernstone.llm.common import canonical, only
 
 KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
@@ -112,7 +112,7 @@ LINK = "array<struct<id:string,step:int>>"
 
 def format_chats(frame: DataFrame, schemas: dict[str, dict] | None = None, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """A row for each message: conversation, turn, role, anchor and step (its place), status, n_calls, n_invalid, message."""
-    schemas = schemas or {}
+    schemas, frame = schemas or {}, only(frame, conv_col, turn_col, role_col, text_col)
     source = frame.select(
         frame[f"`{conv_col}`"].alias("conv"), frame[f"`{turn_col}`"].cast("long").alias("turn"), frame[f"`{role_col}`"].cast("string").alias("role"), F.coalesce(frame[f"`{text_col}`"].cast("string"), F.lit("")).alias("text")
     )

@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes that `[^\x20\x09-\x0D]+` leaves out of words; the same that bytes.split() splits at.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -32,9 +33,16 @@ def read_vocabulary(path: str, limit: int = 64 << 20) -> bytes:
     return data
 
 
-def pick(frame: DataFrame, *names: str) -> DataFrame:
-    """The named columns only, so that extra columns, clashing ones too, never reach an operator."""
-    return frame.select(*[frame[f"`{name}`"] for name in names])
+def only(frame: DataFrame, *names: str) -> DataFrame:
+    """The named columns, taken by place, so that extra columns, clashing ones too, never reach an operator.
+
+    A name means the first column that is spelt so, else the first that differs in case only.
+    """
+    spelt, folded = frame.columns, [c.lower() for c in frame.columns]
+    places = [spelt.index(n) if n in spelt else folded.index(n.lower()) if n.lower() in folded else None for n in names]
+    if None in places:
+        raise ValueError(f"no column {names[places.index(None)]!r} among {spelt}")
+    return frame.toDF(*[f"c{i}" for i in range(len(spelt))]).select(*[F.col(f"c{i}").alias(n) for i, n in zip(places, names)])
 
 
 def chunks(sizes: Sequence[int], budget: int = 4 << 20) -> Iterator[tuple[int, int]]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import BLANKS, text_chunks
+from quernstone.llm.common import BLANKS, only, text_chunks
 
 HELD = 64 << 20
 
@@ -179,6 +179,7 @@ def merged_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def deduplicate(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: int = HELD) -> DataFrame:
     """A row for each input row: id, keep_id, group_size, kept, text_sha256 of the normalised text. The id is an integer column."""
+    frame = only(frame, id_col, text_col)
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), frame[f"`{text_col}`"].cast("string").alias("text"))
     rows = source.mapInArrow(members, "id long, chars long, length long, text_sha256 string")
     partial = source.mapInArrow(partial_owners(held), "length long, sha string, body binary, chars long, owner long, size long")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import discard, settle, text_chunks
+from quernstone.llm.common import only, settle, text_chunks
 
 #: Counts that are broadcast at most: 16 bytes each.
 HEAD = 1 << 20
@@ -190,7 +190,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def count_words(frame: DataFrame, text_col: str = "text") -> DataFrame:
     """Training counts: word (64-bit hash), form, n."""
-    source = frame.select(frame[f"`{text_col}`"].cast("string").alias("text"))
+    source = only(frame, text_col).select(F.col(f"`{text_col}`").cast("string").alias("text"))
     return source.mapInArrow(_counts, "word long, form short, n long").groupBy("word").agg(F.min("form").alias("form"), F.sum("n").alias("n"))
 
 
@@ -226,7 +226,7 @@ class Trained:
     """What scoring needs: the counts, the frequent words' part of them, totals, and the model's arrays."""
 
     def __init__(self, frame: DataFrame, text_col: str = "text", id_col: str = "doc_id", rounds: int = ROUNDS, head: int = HEAD):
-        spark = frame.sparkSession
+        spark, frame = frame.sparkSession, only(frame, id_col, text_col)
         self.counts = settle(count_words(frame, text_col), "counts")
         by_count = self.counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))  # as many rows as there are different counts
         # the least count that at most `head` words reach: bins, since different counts may be many
@@ -308,7 +308,7 @@ def _scores(shared, name: str):
 
 def score(frame: DataFrame, trained: Trained, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row's id, n_tokens, n_known, train_tokens, base_score (add-one unigrams) and score (the model), both log10."""
-    spark, t = frame.sparkSession, trained
+    spark, t, frame = frame.sparkSession, trained, only(frame, id_col, text_col)
     shared = spark.sparkContext.broadcast((t.totals, t.singles, t.single_classes, t.weights, t.keys, t.n, t.norm))
     text = F.coalesce(frame[f"`{text_col}`"].cast("string"), F.lit(""))
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))

@@ -28,7 +28,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import discard, settle
+from quernstone.llm.common import discard, only, settle
 
 #: Tokens of a block, about.
 BLOCK = 1 << 20
@@ -76,6 +76,7 @@ def exponent(totals: DataFrame, budget: float, entropy: float, repeats: float) -
 
 def mix(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """A row for each input row: id, source, tokens, weight of the source, copies. budget: tokens in all, by default as many as there are."""
+    frame = only(frame, id_col, text_col, source_col)
     text = frame[f"`{text_col}`"].cast("string")
     source = frame[f"`{source_col}`"].cast("string")
     rows = frame.select(

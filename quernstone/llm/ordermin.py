@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import text_chunks
+from quernstone.llm.common import only, text_chunks
 
 K, SKETCHES, PICK = 6, 32, 2
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -100,6 +100,7 @@ def likeness(a: str, b: str) -> float:
 
 def fingerprints(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row's id and fingerprint; no shuffle."""
+    frame = only(frame, id_col, text_col)
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias(id_col), frame[f"`{text_col}`"].cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +149,7 @@ def compare_with_next(frame: DataFrame, id_col: str = "doc_id", text_col: str =
     the next one, so that one shuffle of the rows is enough and no task sees
     more than its buckets.
     """
-    spark = frame.sparkSession
+    spark, frame = frame.sparkSession, only(frame, id_col, text_col)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = -(2**63)
     source = frame.select(F.coalesce(frame[f"`{id_col}`"].cast("long"), F.lit(least)).alias("id"), F.coalesce(frame[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import text_chunks
+from quernstone.llm.common import only, text_chunks
 
 BITS, GRAMS = 18, (3, 4)
 CELLS = 1 << BITS
@@ -131,6 +131,7 @@ def scores(texts: list[str], table: np.ndarray, bias: float) -> np.ndarray:
 
 def train(frame: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4000, **settings) -> SubwordClassifier:
     """Learns from at most `sample` labelled rows of frame; the caller leaves out rows that are to be held out."""
+    frame, labels = only(frame, id_col, text_col), only(labels, id_col, label_col)
     ids = labels.select(labels[f"`{id_col}`"].alias("id"), labels[f"`{label_col}`"].cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
     chosen = ids.orderBy(F.xxhash64("id"), "id", "label").limit(sample)
     rows = frame.select(frame[f"`{id_col}`"].alias("id"), frame[f"`{text_col}`"].cast("string").alias("text")).join(F.broadcast(chosen), "id")
@@ -140,6 +141,7 @@ def train(frame: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(frame: DataFrame, model: SubwordClassifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row's id and score."""
+    frame = only(frame, id_col, text_col)
     shared = frame.sparkSession.sparkContext.broadcast((model.table, model.bias))
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias(id_col), frame[f"`{text_col}`"].cast("string").alias("text"))
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from quernstone.llm.bpe import byte_alphabet
-from quernstone.llm.common import read_vocabulary, text_chunks
+from quernstone.llm.common import only, read_vocabulary, text_chunks
 
 #: Character classes: space, letter, number, other, apostrophe, and the letters that contractions turn on.
 SPACE, LETTER, NUMBER, OTHER, TICK, STMD, R, V, L, E = range(10)
@@ -318,6 +318,7 @@ def counter_of(data: bytes) -> TokenCounter:
 
 def count_tokens(frame: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row's id, `n_bytes` of its text in UTF-8 and `n_tokens`."""
+    frame = only(frame, id_col, text_col)
     data = frame.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     source = frame.select(frame[f"`{id_col}`"].alias("id"), frame[f"`{text_col}`"].cast("string").alias("text"))
     out = T.StructType([T.StructField(id_col, frame.schema[id_col].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])

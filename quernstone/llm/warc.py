@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quernstone.llm.common import only
+
 #: Ids of a segment, and children of a node. LEVELS nodes of nodes reach a root: FAN ** LEVELS leaves and more, if ids repeat.
 SPAN, FAN, LEVELS = 256, 16, 3
 #: The parts of a response record's head.
@@ -28,6 +30,7 @@ HEAD = ("WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:", ">\r\nW
 
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_col: str = "html") -> DataFrame:
     """The manifest with the bytes: id, segment, place, offset, length, record."""
+    pages = only(pages, id_col, url_col, text_col)
     number, url, text = pages[f"`{id_col}`"].cast("long"), F.coalesce(pages[f"`{url_col}`"].cast("string"), F.lit("")), F.coalesce(pages[f"`{text_col}`"].cast("string"), F.lit(""))
     name = F.coalesce(number.cast("string"), F.lit(""))
     record = F.concat(F.lit(HEAD[0]), name, F.lit(HEAD[1]), url, F.lit(HEAD[2]), F.octet_length(text).cast("string"), F.lit(HEAD[3]), text, F.lit("\r\n\r\n"))
