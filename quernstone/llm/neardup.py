@@ -10,16 +10,19 @@ pairs of a group:
    sketches a value is shared with probability J, so that with k = 64 and
    J >= 0.8 a pair without any common run has a probability below 1e-9; with
    sets of at most k values, where the sketches are whole, there is none.
-2. Only those classes go on. Their values are ordered, rarest first, by a table
-   of counts of fixed size, and each class posts the first values that a
-   partner must share one of (prefix filter: exact, whatever the order). So
-   documents that have only a common page frame or a common ancestor of too low
-   a likeness don't meet. In each list, the members are paired with the first
-   one; pairs whose union sketch rules the link out are dropped, the others
-   confirmed on whole sets, and linked classes joined to components.
+2. Only those classes go on. Their values are ordered, rarest first, and each
+   class posts the first values that a partner must share one of (prefix filter:
+   exact, whatever the order). Values that no other class has take the first
+   places, so that documents which only share a page frame, or an ancestor of
+   too low a likeness, rarely meet. In each list, the members are paired with
+   the first one; pairs whose union sketch rules the link out are dropped, the
+   others confirmed on whole sets, and linked classes joined to components.
 3. What can still be missing are links between members of one list that are in
-   different components: these pairs, and only these, are made, after length
-   and position bounds, and confirmed in the same way.
+   different components. In lists of at most LONG members these pairs are made,
+   after length and position bounds, and confirmed in the same way. Longer lists
+   are joined to families; a family is cut into blocks of bounded size, each two
+   blocks meet in one task, which counts common values of all its rows at once
+   and gives back no more links than join its components.
 
 Defined results: words are the runs outside 0x20 and 0x09-0x0D after A-Z are
 lower-cased; with fewer words than a shingle has, the whole sequence is the one
@@ -37,13 +40,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import discard, settle, text_chunks
+from quernstone.llm.common import discard, only, settle, text_chunks
 from quernstone.llm.components import connected
 
 #: Retained values, and how many neighbours make a run.
 K, RUN = 64, 3
-#: Bits of the table that marks classes with possible partners, and cells of the table of counts: fixed sizes, so they bound what is broadcast.
-MARKS, CELLS = 1 << 24, 1 << 22
+#: Bits of the table that marks classes with possible partners: a fixed size, which bounds what is broadcast.
+MARKS = 1 << 24
+#: Members from which on a list is worked on in blocks; rows and values of a block.
+LONG, BLOCK_ROWS, BLOCK_VALUES = 128, 1024, 1 << 20
 #: A pair is dropped unread if the union sketch's estimate is this far below the threshold: over seven standard deviations at k = 64.
 MARGIN = 0.35
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
@@ -135,66 +140,106 @@ def _sets(width: int, marks, wanted: str):
     return run
 
 
-SLICE = 1 << 16
-
-
-def cells_of(values: np.ndarray) -> np.ndarray:
-    """A value's cell in the table of counts: its 22 high bits."""
-    return (values >> np.uint64(42)).astype(np.int64)
-
-
-def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A task's table of counts, in slices; counts beyond 255 are all alike."""
-    table = np.zeros(CELLS, np.uint32)
-    for batch in batches:
-        for values in batch.column("values").to_pylist():
-            cells, counts = np.unique(cells_of(np.frombuffer(values, np.uint64)), return_counts=True)
-            table[cells] += counts.astype(np.uint32)
-    for i in range(0, CELLS, SLICE):
-        part = table[i : i + SLICE]
-        if part.any():
-            yield pa.RecordBatch.from_arrays([pa.array([i // SLICE], pa.int32()), pa.array([np.minimum(part, 255).astype(np.uint8).tobytes()], pa.binary())], names=["slice", "counts"])
-
-
-def _counts(sets: DataFrame) -> bytes:
-    """Counts of values by their high bits, at most 255 each: CELLS bytes, whatever the input."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for number, counts in zip(*[c.to_pylist() for c in batch.columns]):
-                part = np.frombuffer(counts, np.uint8).astype(np.uint32)
-                sums[number] = sums[number] + part if number in sums else part
-        for number, total in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([np.minimum(total, 255).astype(np.uint8).tobytes()], pa.binary())], names=["slice", "counts"])
-
-    out = np.zeros(CELLS, np.uint8)
-    summed = sets.select("values").mapInArrow(_tables, "slice int, counts binary").repartition("slice").mapInArrow(add, "slice int, counts binary")
-    for number, counts in summed.toLocalIterator():  # CELLS bytes in all
-        out[number * SLICE : (number + 1) * SLICE] = np.frombuffer(counts, np.uint8)
-    return out.tobytes()
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each value of each set."""
+    for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
+        sets = [np.frombuffer(x, np.int64) for x in batch.column("values").to_pylist()]
+        ids = np.repeat(batch.column("id").to_numpy(zero_copy_only=False), [len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), pa.array(ids, pa.int64())], names=["value", "id"])
+
+
+def postings_of(sets: DataFrame, percent: int) -> DataFrame:
+    """value, id, n, at: the values, rarest first, one of which any partner of at least this likeness must hold, with their places.
+
+    Values of a single set come first in the order and match nothing, so they only take up places.
+    """
+    values = sets.select("id", "values").mapInArrow(_values, "value long, id long")
+    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = values.join(counts, "value").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-6) + 1
+    alone = F.col("n") - F.size("shared")
+    posted = shared.join(sets.select("id", "n"), "id").withColumn("alone", alone).where(prefix > alone)
+    posted = posted.select("id", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), (prefix - alone).cast("int"))).alias("pos", "posted"))
+    return posted.select(F.col("posted.value").alias("value"), "id", "n", (F.col("alone") + F.col("pos")).cast("int").alias("at"))
+
+
+def block_links(ids: np.ndarray, components: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between rows of different components, enough to join what they join."""
+    m = len(ids)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    values, rows = np.concatenate(sets), np.repeat(np.arange(m), sizes)
+    order = np.argsort(values, kind="stable")
+    values, rows = values[order], rows[order]
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    times = np.diff(np.append(first, len(values)))
+    common = np.zeros(m * m, np.float32)
+    for d in np.unique(times[(times > 1) & (times < 64)]).tolist():
+        members = rows[first[times == d][:, None] + np.arange(d)]
+        for i in range(d):
+            for j in range(i + 1, d):
+                np.add.at(common, members[:, i] * m + members[:, j], 1)  # a value's rows are in order
+    common = common.reshape(m, m)
+    often = np.flatnonzero(times >= 64)
+    for i in range(0, len(often), 2048):
+        part = often[i : i + 2048]
+        held = np.zeros((m, len(part)), np.float32)
+        for j, at in enumerate(part.tolist()):
+            held[rows[first[at] : first[at] + times[at]], j] = 1
+        common += held @ held.T
+    union = sizes[:, None] + sizes[None, :] - common
+    near = np.triu((100 * common >= percent * union) & (components[:, None] != components[None, :]), 1)
+    label = {c: c for c in components.tolist()}
+
+    def find(x: int) -> int:
+        while label[x] != x:
+            x = label[x] = label[label[x]]
+        return x
+
+    links = []
+    for i, j in zip(*[x.tolist() for x in np.nonzero(near)]):
+        a, b = find(int(components[i])), find(int(components[j]))
+        if a != b:
+            label[max(a, b)] = min(a, b)
+            links.append((int(ids[i]), int(ids[j])))
+    return links
+
+
+def _blocks(percent: int):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
 
-def _postings(table, percent: int):
-    """The values, rarest first, one of which any partner of at least this likeness must hold, with their places."""
-    schema = pa.schema([("value", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("at", pa.int32())])
+        def links() -> Iterator[pa.RecordBatch]:
+            if held and len({x[1] for x in held}) > 1:
+                found = block_links(np.array([x[0] for x in held]), np.array([x[1] for x in held]), [np.frombuffer(x[2], np.uint64) for x in held], percent)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.frombuffer(table.value, np.uint8)
         for batch in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
-            columns: list[list[np.ndarray]] = [[], [], [], []]
-            for row, n, data in zip(*[c.to_pylist() for c in batch.columns]):
-                values = np.frombuffer(data, np.uint64)
-                prefix = n - -(-percent * n // 100) + 1
-                order = np.argsort(counts[cells_of(values)], kind="stable")[:prefix]
-                for column, x in zip(columns, (values[order].view(np.int64), np.full(len(order), row), np.full(len(order), n), np.arange(len(order)))):
-                    column.append(x)
-            if columns[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+            for family, one, two, row, component, values in zip(*[c.to_pylist() for c in batch.columns]):
+                if key != (family, one, two):
+                    yield from links()
+                    key, held = (family, one, two), []
+                held.append((row, component, values))
+        yield from links()
 
     return run
 
 
+def _family_links(members: DataFrame, values: DataFrame, percent: int) -> DataFrame:
+    """members: value, id, n, component of long lists. Links found block by block."""
+    firsts = members.groupBy("value").agg(F.min("id").alias("a"))
+    families = connected(members.join(firsts, "value").where("a < id").select("a", F.col("id").alias("b")).distinct())
+    rows = families.withColumnRenamed("component", "family").join(members.select("id", "n", F.col("component")).distinct(), "id")
+    sizes = rows.groupBy("family").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_VALUES)).cast("int").alias("blocks"))
+    rows = rows.join(sizes, "family").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = rows.select("id", "component", "family", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("family", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "id", "component").join(values, "id")
+    keys = ["family", "one", "two"]
+    return dealt.select(*keys, "id", "component", "values").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_blocks(percent), "a long, b long")
+
+
 def _confirmed(percent: int):
     """Pairs whose whole sets are alike enough; first the union sketch of the pair is read."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -225,7 +270,7 @@ def _bounds(percent: int) -> F.Column:
 
 def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """A row for each input row: id, n_shingles, component_id (the smallest id that links reach), kept."""
-    spark = frame.sparkSession
+    spark, frame = frame.sparkSession, only(frame, id_col, text_col)
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), frame[f"`{text_col}`"].cast("string").alias("text"))
     rows = settle(source.mapInArrow(_sketches(width), "id long, n long, key binary, runs array<long>"), "sketches")
     linkable = rows.where("n > 0 AND id IS NOT NULL")
@@ -238,8 +283,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sets = marked.mapInArrow(_sets(width, marks, "mark"), "id long, n long, values binary")
     # rows of one class, or of one id, may be marked alike: one set for each class
     sets = settle(sets.join(classes.select(F.col("class").alias("id")), "id", "left_semi").dropDuplicates(["id"]), "sets")
-    counts = spark.sparkContext.broadcast(_counts(sets))
-    postings = settle(sets.mapInArrow(_postings(counts, percent), "value long, id long, n long, at int"), "postings")
+    postings = settle(postings_of(sets, percent), "postings")
     values = sets.select("id", "values")
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -253,12 +297,13 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     joined = connected(links)
     # lists whose members are not all in one component yet
     placed = postings.join(firsts.select("value"), "value", "left_semi").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("value")
-    open_ = settle(placed.join(mixed, "value", "left_semi"), "open")
-    other = open_.select(F.col("value").alias("value_m"), F.col("id").alias("a"), F.col("n").alias("m"), F.col("at").alias("at_m"), F.col("component").alias("component_m"))
-    rest = open_.join(other, (F.col("value") == F.col("value_m")) & (F.col("a") < F.col("id")) & (F.col("component") != F.col("component_m")) & _bounds(percent))
+    mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("value", "size")
+    open_ = settle(placed.join(mixed, "value"), "open")
+    short = open_.where(F.col("size") <= LONG)
+    other = short.select(F.col("value").alias("value_m"), F.col("id").alias("a"), F.col("n").alias("m"), F.col("at").alias("at_m"), F.col("component").alias("component_m"))
+    rest = short.join(other, (F.col("value") == F.col("value_m")) & (F.col("a") < F.col("id")) & (F.col("component") != F.col("component_m")) & _bounds(percent))
     rest = rest.select("a", F.col("id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    late = settle(confirm(rest), "links")
+    late = settle(confirm(rest).union(_family_links(open_.where(F.col("size") > LONG), values, percent)), "links")
     if not late.isEmpty():
         joined = connected(links.union(late))
     discard(sets, postings, star, links, open_, late)

@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
+from quernstone.llm import neardup
 from quernstone.llm.components import connected
 from quernstone.llm.neardup import near_duplicates
 
@@ -46,13 +48,32 @@ def fixture():
 
 
 @pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
-def test_against_all_pairs(spark, width, percent):
+@pytest.mark.parametrize("long", [128, 1])
+def test_against_all_pairs(spark, monkeypatch, width, percent, long):
+    monkeypatch.setattr(neardup, "LONG", long)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 5 if long == 1 else 1024)
     rows = fixture()
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).selectExpr("*", "1 as id", "'k' as key", "2 as n")
     got = near_duplicates(frame, width=width, percent=percent)
     assert sorted(map(tuple, got.collect())) == brute(rows, width, percent)
 
 
+def test_block_links():
+    draw = np.random.default_rng(1)
+    base = draw.integers(0, 2**62, 300).astype(np.uint64)
+    sets = [np.unique(np.concatenate((base[draw.permutation(300)[: draw.integers(250, 300)]], draw.integers(0, 2**62, 5).astype(np.uint64)))) for _ in range(150)]
+    label = list(range(150))
+    find = lambda x: x if label[x] == x else find(label[x])
+    for a, b in neardup.block_links(np.arange(150), np.arange(150), sets, 85):
+        shared = len(np.intersect1d(sets[a], sets[b]))
+        assert neardup.enough(shared, len(sets[a]), len(sets[b]), 85) and find(a) != find(b)
+        label[find(a)] = find(b)
+    for a in range(150):
+        for b in range(a):
+            if neardup.enough(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]), 85):
+                assert find(a) == find(b)
+
+
 def test_chain_and_edges(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(200, 100), (100, 300)], "a long, b long")
     assert {r.id: r.component for r in connected(links).collect()} == {i: 1 for i in range(1, 61)} | {100: 100, 200: 100, 300: 100}
