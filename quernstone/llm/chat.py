@@ -128,10 +128,13 @@ def format_chats(frame: DataFrame, schemas: dict[str, dict] | None = None, conv_
             arrays += [pa.array(calls, pa.list_(pa.struct([("id", pa.string()), ("step", pa.int32())]))), pa.array(list(map(result_of, roles, texts)), pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["conv", "turn", "role", "message", "n_calls", "n_invalid", "calls", "result"])
 
-    rows = source.mapInArrow(run, f"conv {conv}, turn long, role string, message string, n_calls int, n_invalid int, calls {LINK}, result string")
-    calls = rows.where("n_calls > 0").select("conv", "turn", F.explode("calls").alias("call"))
+    schema = f"conv {conv}, turn long, role string, message string, n_calls int, n_invalid int, calls {LINK}, result string"
+    is_tool = F.col("role").eqNullSafe("tool")
+    others, tools = source.where(~is_tool).mapInArrow(run, schema), source.where(is_tool).mapInArrow(run, schema)
+    # only texts that may call tools are read for their identifiers
+    calls = source.where((F.col("role") == "assistant") & F.col("text").contains('"tool_calls"')).mapInArrow(run, schema).select("conv", "turn", F.explode("calls").alias("call"))
     calls = calls.groupBy("conv", F.col("call.id").alias("result")).agg(F.min(F.struct(F.coalesce("turn", F.lit(-(2**63))).alias("at"), F.col("turn").alias("anchor"), F.col("call.step").alias("step"))).alias("call"))
-    results, plain = rows.where("result IS NOT NULL"), rows.where("result IS NULL")
+    results, plain = tools.where("result IS NOT NULL"), others.unionByName(tools.where("result IS NULL"))
     linked = results.join(calls.withColumnRenamed("conv", "c").withColumnRenamed("result", "r"), F.col("conv").eqNullSafe(F.col("c")) & (F.col("result") == F.col("r")), "left")
     # one identifier's results: few by design, and hot ones are of one key that no other operation gathers
     first = results.groupBy("conv", "result").agg(F.min(F.struct(F.coalesce("turn", F.lit(-(2**63))).alias("at"), F.col("message").alias("message"))).alias("first"))
