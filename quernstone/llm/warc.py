@@ -1,15 +1,15 @@
 """WARC records and a Merkle audit of replicas.
 
 Pages become WARC response records, laid out in segments: ordered ranges of
-bytes, described by a manifest (segment, place, offset, length). A replica's
-leaves are the SHA-256 of its bytes in each of the manifest's ranges together
-with the range; FAN leaves or nodes hash to the node above, up to a root for
+bytes (segment, place, offset, length). A replica's leaves are the SHA-256 of
+its bytes in each of these ranges together with the range; bytes are hashed
+where they are read, so that only digests and lengths are shuffled. FAN leaves or nodes hash to the node above, up to a root for
 each segment. An audit compares roots, and descends only below nodes that
 differ, down to the records that are damaged; what agrees is never read below
 its root. All of it is DataFrame operations; a group is at most FAN rows.
 
-Defined results: null urls and texts are empty; pages are in order of id, then
-url, then text; pages of a null id go to segments of their own, by hash; rows
+Defined results: null urls and texts are empty; pages are in order of id, then of
+digest; pages of a null id go to segments of their own, by hash; rows
 that repeat an id are records of their own; a record that a replica lacks has no
 digest and counts as damaged; an empty table gives an empty result; columns
 other than those named are not read.
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import only
+from quernstone.llm.common import only, settle
 
 #: Ids of a segment, and children of a node. LEVELS nodes of nodes reach a root: FAN ** LEVELS leaves and more, if ids repeat.
 SPAN, FAN, LEVELS = 256, 16, 3
@@ -29,24 +29,27 @@ HEAD = ("WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:", ">\r\nW
 
 
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_col: str = "html") -> DataFrame:
-    """The manifest with the bytes: id, segment, place, offset, length, record."""
+    """id, segment, length and digest as the manifest has them, and the record's bytes; no shuffle."""
     pages = only(pages, id_col, url_col, text_col)
     number, url, text = pages[f"`{id_col}`"].cast("long"), F.coalesce(pages[f"`{url_col}`"].cast("string"), F.lit("")), F.coalesce(pages[f"`{text_col}`"].cast("string"), F.lit(""))
     name = F.coalesce(number.cast("string"), F.lit(""))
     record = F.concat(F.lit(HEAD[0]), name, F.lit(HEAD[1]), url, F.lit(HEAD[2]), F.octet_length(text).cast("string"), F.lit(HEAD[3]), text, F.lit("\r\n\r\n"))
     segment = F.coalesce(F.floor(number / SPAN), -1 - F.pmod(F.xxhash64(url, text), F.lit(1 << 16)))
     rows = pages.select(number.alias("id"), segment.alias("segment"), F.encode(record, "UTF-8").alias("record"))
-    rows = rows.withColumn("length", F.octet_length("record").cast("long"))
-    order = Window.partitionBy("segment").orderBy(F.col("id").asc_nulls_first(), "record")
-    before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return rows.select("id", "segment", (F.row_number().over(order) - 1).cast("long").alias("place"), F.coalesce(before, F.lit(0)).alias("offset"), "length", "record")
+    return rows.select("id", "segment", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"), "record")
 
 
 def leaves(replica: DataFrame) -> DataFrame:
-    """id, segment, place, offset, length, digest of the record's bytes, leaf (digest and range hashed)."""
-    digest = F.when(F.col("record").isNotNull(), F.sha2("record", 256))
-    leaf = F.sha2(F.concat_ws(":", F.lit("leaf"), "offset", "length", F.coalesce(digest, F.lit(""))), 256)
-    return replica.select("id", "segment", "place", "offset", "length", digest.alias("digest"), leaf.alias("leaf"))
+    """id, segment, place, offset, length, digest of the replica's bytes, leaf (digest and range hashed).
+
+    A replica has a row for each record of the manifest; a lost record is null.
+    """
+    rows = replica.select("id", "segment", "length", F.col("digest").alias("listed"), F.when(F.col("record").isNotNull(), F.sha2("record", 256)).alias("digest"))
+    order = Window.partitionBy("segment").orderBy(F.col("id").asc_nulls_first(), "listed")
+    before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.select("id", "segment", (F.row_number().over(order) - 1).cast("long").alias("place"), F.coalesce(before, F.lit(0)).alias("offset"), "length", "digest")
+    leaf = F.sha2(F.concat_ws(":", F.lit("leaf"), "offset", "length", F.coalesce("digest", F.lit(""))), 256)
+    return rows.withColumn("leaf", leaf)
 
 
 def above(nodes: DataFrame) -> DataFrame:
@@ -82,14 +85,14 @@ def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
 
 
 def damaged(manifest: DataFrame, flipped: Column, lost: Column) -> DataFrame:
-    """A replica in which some records have their last byte overwritten and others are missing; ranges stay."""
+    """A replica in which some records have their last byte overwritten and others are lost; ranges stay."""
     overwritten = F.concat(F.expr("substring(record, 1, length(record) - 1)"), F.lit(b"#"))
     return manifest.withColumn("record", F.when(lost, F.lit(None)).when(flipped, overwritten).otherwise(F.col("record")))
 
 
 def report(manifest: DataFrame, replica: DataFrame, id_col: str = "page_id") -> DataFrame:
     """Each record of the manifest with its range, its digest in both replicas, and its status: ok, corrupt or missing."""
-    ours, theirs = leaves(manifest), leaves(replica)
+    ours, theirs = settle(leaves(manifest), "leaves"), settle(leaves(replica), "leaves")
     wrong = audit(ours, theirs).withColumn("wrong", F.lit(True))
     found = wrong.join(theirs.select("segment", "place", F.col("digest").alias("found")), ["segment", "place"], "left")
     out = ours.join(found, ["segment", "place"], "left")
