@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import uuid
 from collections.abc import Iterator, Sequence
@@ -91,5 +92,11 @@ def discard(*settled: DataFrame) -> None:
         path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of plans that nothing refers to any more; it goes by the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def canonical(value: object) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import discard, only, settle, text_chunks
+from quernstone.llm.common import discard, only, release, settle, text_chunks
 from quernstone.llm.components import connected
 
 #: Retained values, and how many neighbours make a run.
@@ -282,8 +282,11 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     marked = source.where("id IS NOT NULL").select("id", "text", _mark("id").alias("mark"))
     sets = marked.mapInArrow(_sets(width, marks, "mark"), "id long, n long, values binary")
     # rows of one class, or of one id, may be marked alike: one set for each class
+    release(spark)
     sets = settle(sets.join(classes.select(F.col("class").alias("id")), "id", "left_semi").dropDuplicates(["id"]), "sets")
+    release(spark)
     postings = settle(postings_of(sets, percent), "postings")
+    release(spark)
     values = sets.select("id", "values")
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -295,6 +298,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     star = settle(met.where((F.col("id") != F.col("a")) & _bounds(percent)).select("a", F.col("id").alias("b")).distinct(), "pairs")
     links = settle(confirm(star), "links")
     joined = connected(links)
+    release(spark)
     # lists whose members are not all in one component yet
     placed = postings.join(firsts.select("value"), "value", "left_semi").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("value", "size")
