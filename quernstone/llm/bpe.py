@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quernstone.llm.common import only, read_vocabulary, text_chunks
+from quernstone.llm.common import only, read_vocabulary, text_chunks, tidied
 
 #: Fixed value: the split of the byte-level pre-tokenizer.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -198,13 +198,13 @@ def encode(frame: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
 
         codec, arrow = codec_of(data.value), to_arrow_schema(out)
         for batch in batches:
-            for part, texts in text_chunks(batch):
+            for part, texts in text_chunks(batch, budget=2 << 20):
                 encoded = codec.encode_all(texts)
                 rows = [per_row(codec, text, ids) for text, ids in zip(texts, encoded)] if per_row else [{"ids": ids} for ids in encoded]
                 columns = [part.column("id"), *[pa.array([row[f.name] for row in rows], arrow.field(f.name).type) for f in made.fields]]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    return source.mapInArrow(run, out)
+    return source.mapInArrow(tidied(run), out)
 
 
 def decode(frame: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -220,4 +220,4 @@ def decode(frame: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: s
             texts = [codec.decode(ids or []) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, pa.string())], names=[id_col, "text"])
 
-    return source.mapInArrow(run, out)
+    return source.mapInArrow(tidied(run), out)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import canonical, only
+from quernstone.llm.common import canonical, only, tidied
 
 KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
@@ -130,9 +130,9 @@ def format_chats(frame: DataFrame, schemas: dict[str, dict] | None = None, conv_
 
     schema = f"conv {conv}, turn long, role string, message string, n_calls int, n_invalid int, calls {LINK}, result string"
     is_tool = F.col("role").eqNullSafe("tool")
-    others, tools = source.where(~is_tool).mapInArrow(run, schema), source.where(is_tool).mapInArrow(run, schema)
+    others, tools = source.where(~is_tool).mapInArrow(tidied(run), schema), source.where(is_tool).mapInArrow(tidied(run), schema)
     # only texts that may call tools are read for their identifiers
-    calls = source.where((F.col("role") == "assistant") & F.col("text").contains('"tool_calls"')).mapInArrow(run, schema).select("conv", "turn", F.explode("calls").alias("call"))
+    calls = source.where((F.col("role") == "assistant") & F.col("text").contains('"tool_calls"')).mapInArrow(tidied(run), schema).select("conv", "turn", F.explode("calls").alias("call"))
     calls = calls.groupBy("conv", F.col("call.id").alias("result")).agg(F.min(F.struct(F.coalesce("turn", F.lit(-(2**63))).alias("at"), F.col("turn").alias("anchor"), F.col("call.step").alias("step"))).alias("call"))
     results, plain = tools.where("result IS NOT NULL"), others.unionByName(tools.where("result IS NULL"))
     linked = results.join(calls.withColumnRenamed("conv", "c").withColumnRenamed("result", "r"), F.col("conv").eqNullSafe(F.col("c")) & (F.col("result") == F.col("r")), "left")

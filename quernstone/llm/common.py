@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import json
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +71,21 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text", budget: int = 4 <<
         yield part, [x or "" for x in part.column(column).to_pylist()]
 
 
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function, and after it the memory that the worker no longer uses given back; an idle worker would hold it else."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return wrapped
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share. Only without that setting (tests): one in the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")

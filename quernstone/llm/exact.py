@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import BLANKS, only, text_chunks
+from quernstone.llm.common import BLANKS, only, text_chunks, tidied
 
 HELD = 64 << 20
 
@@ -181,9 +181,9 @@ def deduplicate(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """A row for each input row: id, keep_id, group_size, kept, text_sha256 of the normalised text. The id is an integer column."""
     frame = only(frame, id_col, text_col)
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), frame[f"`{text_col}`"].cast("string").alias("text"))
-    rows = source.mapInArrow(members, "id long, chars long, length long, text_sha256 string")
-    partial = source.mapInArrow(partial_owners(held), "length long, sha string, body binary, chars long, owner long, size long")
-    owners = partial.repartition("length", "sha").sortWithinPartitions("length", "sha").mapInArrow(merged_owners, "length long, sha string, keep_id long, group_size long")
+    rows = source.mapInArrow(tidied(members), "id long, chars long, length long, text_sha256 string")
+    partial = source.mapInArrow(tidied(partial_owners(held)), "length long, sha string, body binary, chars long, owner long, size long")
+    owners = partial.repartition("length", "sha").sortWithinPartitions("length", "sha").mapInArrow(tidied(merged_owners), "length long, sha string, keep_id long, group_size long")
     joined = rows.join(owners.withColumnRenamed("length", "l"), (F.col("length") == F.col("l")) & (F.col("text_sha256") == F.col("sha")), "left")
     alone = F.col("group_size").isNull()
     return joined.select(

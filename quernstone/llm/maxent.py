@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import only, settle, text_chunks
+from quernstone.llm.common import only, settle, text_chunks, tidied
 
 #: Counts that are broadcast at most: 16 bytes each.
 HEAD = 1 << 20
@@ -191,7 +191,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def count_words(frame: DataFrame, text_col: str = "text") -> DataFrame:
     """Training counts: word (64-bit hash), form, n."""
     source = only(frame, text_col).select(F.col(f"`{text_col}`").cast("string").alias("text"))
-    return source.mapInArrow(_counts, "word long, form short, n long").groupBy("word").agg(F.min("form").alias("form"), F.sum("n").alias("n"))
+    return source.mapInArrow(tidied(_counts), "word long, form short, n long").groupBy("word").agg(F.min("form").alias("form"), F.sum("n").alias("n"))
 
 
 def _gradients(shared):
@@ -263,7 +263,7 @@ class Trained:
         for r in range(rounds):
             shared = spark.sparkContext.broadcast((totals, self.singles, self.single_classes, weights))
             own = source.where(F.pmod("part", F.lit(rounds)) == r).select("text")
-            changes = own.mapInArrow(_gradients(shared), "block int, tokens long, change binary").repartition("block").mapInArrow(_averaged, "block int, change binary")
+            changes = own.mapInArrow(tidied(_gradients(shared)), "block int, tokens long, change binary").repartition("block").mapInArrow(tidied(_averaged), "block int, change binary")
             weights = weights.copy()
             for block, change in changes.toLocalIterator():  # ROWS / PER_BLOCK rows of fixed size
                 weights[block * PER_BLOCK : (block + 1) * PER_BLOCK] += np.frombuffer(change, np.float32).reshape(PER_BLOCK, WIDTH)
@@ -312,7 +312,7 @@ def score(frame: DataFrame, trained: Trained, id_col: str = "doc_id", text_col:
     shared = spark.sparkContext.broadcast((t.totals, t.singles, t.single_classes, t.weights, t.keys, t.n, t.norm))
     text = F.coalesce(frame[f"`{text_col}`"].cast("string"), F.lit(""))
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    rows = settle(source.mapInArrow(_scores(shared, id_col), "id long, text_key long, n_tokens long, known long, logs double, model double, rare array<long>, times array<int>"), "scores")
+    rows = settle(source.mapInArrow(tidied(_scores(shared, id_col)), "id long, text_key long, n_tokens long, known long, logs double, model double, rare array<long>, times array<int>"), "scores")
     rare = rows.select(F.col("id").alias("i"), F.col("text_key").alias("k"), F.posexplode(F.arrays_zip("rare", "times")).alias("at", "token")).select("i", "k", "at", F.col("token.rare").alias("word"), F.col("token.times").alias("times"))
     found = rare.join(t.counts.select("word", "n"), "word", "left")
     # rows that repeat id and text are summed together: `copies` of them

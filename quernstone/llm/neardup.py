@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import discard, only, release, settle, text_chunks
+from quernstone.llm.common import discard, only, release, settle, text_chunks, tidied
 from quernstone.llm.components import connected
 
 #: Retained values, and how many neighbours make a run.
@@ -153,7 +153,7 @@ def postings_of(sets: DataFrame, percent: int) -> DataFrame:
 
     Values of a single set come first in the order and match nothing, so they only take up places.
     """
-    values = sets.select("id", "values").mapInArrow(_values, "value long, id long")
+    values = sets.select("id", "values").mapInArrow(tidied(_values), "value long, id long")
     counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = values.join(counts, "value").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("shared"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-6) + 1
@@ -237,7 +237,7 @@ def _family_links(members: DataFrame, values: DataFrame, percent: int) -> DataFr
     dealt = rows.select("id", "component", "family", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("family", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "id", "component").join(values, "id")
     keys = ["family", "one", "two"]
-    return dealt.select(*keys, "id", "component", "values").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_blocks(percent), "a long, b long")
+    return dealt.select(*keys, "id", "component", "values").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidied(_blocks(percent)), "a long, b long")
 
 
 def _confirmed(percent: int):
@@ -272,7 +272,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """A row for each input row: id, n_shingles, component_id (the smallest id that links reach), kept."""
     spark, frame = frame.sparkSession, only(frame, id_col, text_col)
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), frame[f"`{text_col}`"].cast("string").alias("text"))
-    rows = settle(source.mapInArrow(_sketches(width), "id long, n long, key binary, runs array<long>"), "sketches")
+    rows = settle(source.mapInArrow(tidied(_sketches(width)), "id long, n long, key binary, runs array<long>"), "sketches")
     linkable = rows.where("n > 0 AND id IS NOT NULL")
     classes = linkable.groupBy("key").agg(F.min("id").alias("class"), F.first("runs").alias("runs"))
     runs = classes.select("class", F.explode("runs").alias("run"))
@@ -280,7 +280,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     partners = runs.join(shared.where("members > 1").select("run"), "run", "left_semi").select(F.col("class").alias("id"))
     marks = spark.sparkContext.broadcast(_bitmap(partners))
     marked = source.where("id IS NOT NULL").select("id", "text", _mark("id").alias("mark"))
-    sets = marked.mapInArrow(_sets(width, marks, "mark"), "id long, n long, values binary")
+    sets = marked.mapInArrow(tidied(_sets(width, marks, "mark")), "id long, n long, values binary")
     # rows of one class, or of one id, may be marked alike: one set for each class
     release(spark)
     sets = settle(sets.join(classes.select(F.col("class").alias("id")), "id", "left_semi").dropDuplicates(["id"]), "sets")
@@ -291,7 +291,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def confirm(pairs: DataFrame) -> DataFrame:
         both = pairs.join(values.withColumnsRenamed({"id": "b", "values": "right"}), "b").join(values.withColumnsRenamed({"id": "a", "values": "left"}), "a")
-        return both.select("a", "b", "left", "right").mapInArrow(_confirmed(percent), "a long, b long")
+        return both.select("a", "b", "left", "right").mapInArrow(tidied(_confirmed(percent)), "a long, b long")
 
     firsts = postings.groupBy("value").agg(F.min(F.struct("id", "n", "at")).alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
     met = postings.join(firsts.select("value", F.col("first.id").alias("a"), F.col("first.n").alias("m"), F.col("first.at").alias("at_m")), "value")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import only, text_chunks
+from quernstone.llm.common import only, text_chunks, tidied
 
 K, SKETCHES, PICK = 6, 32, 2
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -108,7 +108,7 @@ def fingerprints(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text
             for part, texts in text_chunks(batch):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(fingerprint, texts), pa.string())], names=[id_col, "fingerprint"])
 
-    return source.mapInArrow(run, f"`{id_col}` long, fingerprint string")
+    return source.mapInArrow(tidied(run), f"`{id_col}` long, fingerprint string")
 
 
 def edited(text: str, following: str) -> str:
@@ -171,5 +171,5 @@ def compare_with_next(frame: DataFrame, id_col: str = "doc_id", text_col: str =
 
     dealt = source.withColumn("place", F.explode(places_of("id"))).select(F.col("place.bucket").alias("bucket"), F.col("place.head").alias("head"), "id", "text")
     ordered = dealt.repartition(tasks, "bucket").sortWithinPartitions("bucket", "head", "id", "text")
-    out = ordered.mapInArrow(_compared, "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    out = ordered.mapInArrow(tidied(_compared), "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     return out.withColumn("id", F.when(F.col("id") != least, F.col("id"))).withColumnRenamed("id", id_col)

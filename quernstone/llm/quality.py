@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import only, text_chunks
+from quernstone.llm.common import only, text_chunks, tidied
 
 BITS, GRAMS = 18, (3, 4)
 CELLS = 1 << BITS
@@ -148,10 +148,10 @@ def score(frame: DataFrame, model: SubwordClassifier, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
         for batch in batches:
-            for part, texts in text_chunks(batch, budget=2 << 20):
+            for part, texts in text_chunks(batch, budget=1 << 20):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores(texts, table, bias), pa.float64())], names=[id_col, "score"])
 
-    return source.mapInArrow(run, f"`{id_col}` long, score double")
+    return source.mapInArrow(tidied(run), f"`{id_col}` long, score double")
 
 
 def select(frame: DataFrame, model: SubwordClassifier, least: float, text_col: str = "text") -> DataFrame:
@@ -163,11 +163,11 @@ def select(frame: DataFrame, model: SubwordClassifier, least: float, text_col: s
         table, bias = shared.value
         for batch in batches:
             named = pa.RecordBatch.from_arrays(batch.columns, names=[f"c{i}" for i in range(batch.num_columns)])
-            for part, texts in text_chunks(named, f"c{at}", budget=2 << 20):
+            for part, texts in text_chunks(named, f"c{at}", budget=1 << 20):
                 kept = part.filter(pa.array(scores(texts, table, bias) >= least))
                 yield pa.RecordBatch.from_arrays(kept.columns, schema=batch.schema)
 
-    return frame.mapInArrow(run, frame.schema)
+    return frame.mapInArrow(tidied(run), frame.schema)
 
 
 def held_out(column: F.Column, modulus: int, remainder: int) -> F.Column:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from quernstone.llm.bpe import byte_alphabet
-from quernstone.llm.common import only, read_vocabulary, text_chunks
+from quernstone.llm.common import only, read_vocabulary, text_chunks, tidied
 
 #: Character classes: space, letter, number, other, apostrophe, and the letters that contractions turn on.
 SPACE, LETTER, NUMBER, OTHER, TICK, STMD, R, V, L, E = range(10)
@@ -332,4 +332,4 @@ def count_tokens(frame: DataFrame, vocabulary: str, id_col: str = "doc_id", text
                 sizes = pc.fill_null(pc.binary_length(part.column("text")), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("id"), sizes, pa.array(counter.count_all(texts), pa.int64())], names=[id_col, "n_bytes", "n_tokens"])
 
-    return source.mapInArrow(run, out)
+    return source.mapInArrow(tidied(run), out)
