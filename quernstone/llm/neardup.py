@@ -5,11 +5,14 @@ equal sets are one class from the start. A class's bottom-k sketch retains the
 k least hashes of its set. Work goes in three steps, none of which makes all
 pairs of a group:
 
-1. Inverted lists of runs of RUN retained values that stand next to each other
-   find the classes that may have a partner at all. In the joint order of two
-   sketches a value is shared with probability J, so that with k = 64 and
-   J >= 0.8 a pair without any common run has a probability below 1e-9; with
-   sets of at most k values, where the sketches are whole, there is none.
+1. Inverted lists of runs of retained values that stand next to each other find
+   the classes that may have a partner at all. Sets of at most k values have
+   whole sketches: the s values that two of them share lie in at most d + 1
+   gaps between the d others, so that one run of s / (d + 1), rounded up, is
+   common. Each set posts the lengths that its possible partners' sizes ask for,
+   RUN at most, and no such link is lost. With larger sets a value of the joint
+   order is shared with probability J; the run is as long as keeps a pair
+   without any common one below a probability of 1e-9, for J down to 0.28.
 2. Only those classes go on. Their values are ordered, rarest first, and each
    class posts the first values that a partner must share one of (prefix filter:
    exact, whatever the order). Values that no other class has take the first
@@ -34,6 +37,7 @@ alone; columns other than those named are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +47,7 @@ from pyspark.sql import functions as F
 from quernstone.llm.common import discard, only, release, settle, text_chunks, tidied
 from quernstone.llm.components import connected
 
-#: Retained values, and how many neighbours make a run.
+#: Retained values, and how many neighbours make a run at most.
 K, RUN = 64, 3
 #: Bits of the table that marks classes with possible partners: a fixed size, which bounds what is broadcast.
 MARKS = 1 << 24
@@ -72,16 +76,48 @@ def shingle_set(text: str, width: int) -> np.ndarray:
     return np.unique(mixed)
 
 
-def run_keys(values: np.ndarray) -> np.ndarray:
-    """A key for each run of neighbours in a sketch; the whole sketch is one run where it is shorter."""
-    if not len(values):
-        return values
-    n = max(1, len(values) - RUN + 1)
-    keys = np.full(n, len(values) if len(values) < RUN else RUN, np.uint64)
-    for i in range(min(RUN, len(values))):
-        keys = (keys ^ values[i : i + n]) * M2
-        keys ^= keys >> np.uint64(31)
-    return keys
+def common_run(n: int, m: int, percent: int) -> int:
+    """The run that whole sets of n and m values have in common at least if they are linked and differ; 0 if there are none such."""
+    shared = max(1, -(-percent * (n + m) // (100 + percent)))
+    others = n + m - 2 * shared
+    return -(-shared // (others + 1)) if shared <= min(n, m) and others else 0
+
+
+@cache
+def wide_run(percent: int) -> int:
+    """The longest run, up to RUN, that K values of a joint order lack with a probability below 1e-9."""
+    p = percent / 100
+    for run in range(RUN, 1, -1):
+        ends = [1.0] + [0.0] * (run - 1)  # by the number of shared values at the end
+        for _ in range(K):
+            ends = [(1 - p) * sum(ends), *(p * x for x in ends[:-1])]
+        if sum(ends) < 1e-9:
+            return run
+    return 1
+
+
+@cache
+def run_lengths(n: int, percent: int) -> tuple[int, ...]:
+    """Lengths of the runs that a set of n values posts, so that each possible partner posts one of them too."""
+    if n > K:
+        return (wide_run(percent),)
+    found = {min(RUN, common_run(n, m, percent)) for m in range(1, K + 1)}
+    if common_run(n, K + 1, percent):
+        found.add(wide_run(percent))
+    return tuple(sorted(found - {0}))
+
+
+def run_keys(values: np.ndarray, percent: int) -> np.ndarray:
+    """A key for each run of neighbours in the sketch of a set, of each length that it posts."""
+    made = [np.zeros(0, np.uint64)]
+    for run in run_lengths(len(values), percent):
+        n = min(len(values), K) - run + 1
+        keys = np.full(n, run, np.uint64)
+        for i in range(run):
+            keys = (keys ^ values[i : i + n]) * M2
+            keys ^= keys >> np.uint64(31)
+        made.append(keys)
+    return np.concatenate(made)
 
 
 def enough(shared: int, n: int, m: int, percent: int) -> bool:
@@ -94,7 +130,7 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64) if flat.dtype == np.uint64 else flat, kind))
 
 
-def _sketches(width: int):
+def _sketches(width: int, percent: int):
     import xxhash
 
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("runs", pa.list_(pa.int64()))])
@@ -104,7 +140,7 @@ def _sketches(width: int):
             for part, texts in text_chunks(batch):
                 sets = [shingle_set(t, width) for t in texts]
                 keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), _lists([run_keys(s[:K]) for s in sets], pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), _lists([run_keys(s, percent) for s in sets], pa.int64())], schema=schema)
 
     return run
 
@@ -272,7 +308,7 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """A row for each input row: id, n_shingles, component_id (the smallest id that links reach), kept."""
     spark, frame = frame.sparkSession, only(frame, id_col, text_col)
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), frame[f"`{text_col}`"].cast("string").alias("text"))
-    rows = settle(source.mapInArrow(tidied(_sketches(width)), "id long, n long, key binary, runs array<long>"), "sketches")
+    rows = settle(source.mapInArrow(tidied(_sketches(width, percent)), "id long, n long, key binary, runs array<long>"), "sketches")
     linkable = rows.where("n > 0 AND id IS NOT NULL")
     classes = linkable.groupBy("key").agg(F.min("id").alias("class"), F.first("runs").alias("runs"))
     runs = classes.select("class", F.explode("runs").alias("run"))

@@ -81,3 +81,23 @@ def test_chain_and_edges(spark):
     assert near_duplicates(empty).collect() == []
     alone = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (5, "a b c d")], "doc_id long, text string")
     assert sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(alone).collect() if r.doc_id) == [(5, 5, True)]
+
+
+def test_small_sets_share_a_run():
+    draw = np.random.default_rng(3)
+    for percent in (50, 65, 80, 85):
+        for _ in range(3000):
+            shared, a, b = int(draw.integers(1, 40)), int(draw.integers(0, 8)), int(draw.integers(0, 3))
+            values = draw.integers(0, 2**62, shared + a + b).astype(np.uint64)
+            x, y = np.sort(values[: shared + a]), np.sort(np.concatenate((values[:shared], values[shared + a :])))
+            if a + b and neardup.enough(shared, len(x), len(y), percent):
+                assert len(np.intersect1d(neardup.run_keys(x, percent), neardup.run_keys(y, percent)))
+
+
+def test_nine_words_and_eight(spark):
+    rows = []
+    for i in range(200):
+        words = [f"t{i}x{j}" for j in range(9)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[1:] if i % 2 else words[:-1]))]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, got.collect())) == brute(rows, 5, 80)
