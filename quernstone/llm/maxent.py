@@ -229,8 +229,9 @@ class Trained:
         spark, frame = frame.sparkSession, only(frame, id_col, text_col)
         self.counts = settle(count_words(frame, text_col), "counts")
         by_count = self.counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))  # as many rows as there are different counts
-        # the least count that at most `head` words reach: bins, since different counts may be many
-        bins = sorted(by_count.withColumn("bin", F.least(F.col("n"), F.lit(1000))).groupBy("bin").agg(F.sum("words").alias("words"), F.sum(F.col("n") * F.col("words")).alias("tokens")).collect(), reverse=True)
+        # the least count that at most `head` words reach: bins of a 64th of a power of two, since different counts may be many
+        level = F.floor(F.log2("n") * 64)
+        bins = sorted(by_count.withColumn("bin", level).groupBy("bin").agg(F.sum("words").alias("words"), F.sum(F.col("n") * F.col("words")).alias("tokens")).collect(), reverse=True)
         self.tokens, self.distinct = sum(r.tokens for r in bins), sum(r.words for r in bins)
         least, words = None, 0
         for r in bins:
@@ -238,14 +239,17 @@ class Trained:
             if words > head:
                 break
             least = r.bin
-        frequent = self.counts.where(F.col("n") >= least) if least is not None else self.counts.limit(0)
+        frequent = self.counts.where(level >= least) if least is not None else self.counts.limit(0)
         top = frequent.toArrow()
-        keys, forms, n = (top.column(c).to_numpy() for c in ("word", "form", "n"))
+        keys, n = (top.column(c).to_numpy() for c in ("word", "n"))
         keys = keys.view(np.uint64)
         order = np.argsort(keys)
         self.keys, self.n = keys[order], n[order]
-        best = np.lexsort((keys, -n))[: SINGLES - 1]
-        best = best[keys[best] != END]
+        # the words that are classes do not depend on the head; hashes are ordered as unsigned numbers
+        leading = self.counts.orderBy(F.desc("n"), F.col("word").bitwiseXOR(F.lit(-(2**63)))).limit(SINGLES - 1).toArrow()
+        keys, forms, n = (leading.column(c).to_numpy() for c in ("word", "form", "n"))
+        keys = keys.view(np.uint64)
+        best = np.flatnonzero(keys != END)
         singles = np.concatenate((np.array([END], np.uint64), keys[best]))
         sort = np.argsort(singles)
         self.singles, self.single_classes = singles[sort], sort.astype(np.int64)

@@ -63,3 +63,16 @@ def test_nothing_to_learn_from(spark):
     assert maxent.score(empty, trained).collect() == []
     got = maxent.score(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), trained).first()
     assert (got.n_tokens, got.n_known, got.train_tokens, got.base_score) == (3, 0, 0, 0.0)
+
+
+def test_score_does_not_depend_on_the_head(spark):
+    sample = rows()
+    frame = spark.createDataFrame(sample, "doc_id long, text string").coalesce(1)
+    wanted = None
+    for head in (1 << 20, 6, 0):
+        trained = maxent.Trained(frame, rounds=1, head=head)
+        assert len(trained.keys) <= head and len(trained.singles) == maxent.SINGLES - 1
+        got = sorted(((r.doc_id or -1, r.n_tokens), r.score) for r in maxent.score(frame, trained).collect())
+        wanted = wanted or got
+        assert [k for k, _ in got] == [k for k, _ in wanted]
+        assert [x for _, x in got] == pytest.approx([x for _, x in wanted], rel=1e-6)
