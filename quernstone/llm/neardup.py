@@ -30,8 +30,8 @@ pairs of a group:
 Defined results: words are the runs outside 0x20 and 0x09-0x0D after A-Z are
 lower-cased; with fewer words than a shingle has, the whole sequence is the one
 shingle; null, empty and blank texts have an empty set and are linked with
-nothing; repeated rows are linked, as equal sets are; rows with a null id stand
-alone; columns other than those named are not read.
+nothing; repeated rows are linked, as equal sets are; rows that repeat an id are
+linked each by its own text; rows with a null id stand alone; columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -159,8 +159,10 @@ def _bitmap(ids: DataFrame) -> bytes:
 
 
 def _sets(width: int, marks, wanted: str):
-    """Whole sets of the rows whose mark is set."""
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("values", pa.binary())])
+    """Whole sets, and their keys, of the rows whose mark is set."""
+    import xxhash
+
+    schema = pa.schema([("class", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("values", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
@@ -170,7 +172,8 @@ def _sets(width: int, marks, wanted: str):
             batch = batch.filter(pa.array(bits[batch.column(wanted).to_numpy(zero_copy_only=False)]))
             for part, texts in text_chunks(batch):
                 sets = [shingle_set(t, width) for t in texts]
-                found = pa.RecordBatch.from_arrays([part.column("id"), pa.array(map(len, sets), pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+                held = [s.tobytes() for s in sets]
+                found = pa.RecordBatch.from_arrays([part.column("id"), pa.array(map(xxhash.xxh3_128_digest, held), pa.binary()), pa.array(map(len, sets), pa.int64()), pa.array(held, pa.binary())], schema=schema)
                 yield found.filter(pc.greater(found.column("n"), 0))
 
     return run
@@ -310,16 +313,19 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), frame[f"`{text_col}`"].cast("string").alias("text"))
     rows = settle(source.mapInArrow(tidied(_sketches(width, percent)), "id long, n long, key binary, runs array<long>"), "sketches")
     linkable = rows.where("n > 0 AND id IS NOT NULL")
-    classes = linkable.groupBy("key").agg(F.min("id").alias("class"), F.first("runs").alias("runs"))
+    grouped = linkable.groupBy("key").agg(F.min("id").alias("class"), F.first("runs").alias("runs"))
+    # a class goes by a number of its own from here on: rows that repeat an id may be of several classes
+    classes = settle(grouped.withColumn("number", F.monotonically_increasing_id()), "classes")
     runs = classes.select("class", F.explode("runs").alias("run"))
     shared = runs.groupBy("run").agg(F.count(F.lit(1)).alias("members"), F.min("class").alias("class"))
     partners = runs.join(shared.where("members > 1").select("run"), "run", "left_semi").select(F.col("class").alias("id"))
     marks = spark.sparkContext.broadcast(_bitmap(partners))
     marked = source.where("id IS NOT NULL").select("id", "text", _mark("id").alias("mark"))
-    sets = marked.mapInArrow(tidied(_sets(width, marks, "mark")), "id long, n long, values binary")
-    # rows of one class, or of one id, may be marked alike: one set for each class
+    sets = marked.mapInArrow(tidied(_sets(width, marks, "mark")), "class long, key binary, n long, values binary")
+    # rows of one class may be marked alike: one set for each class
     release(spark)
-    sets = settle(sets.join(classes.select(F.col("class").alias("id")), "id", "left_semi").dropDuplicates(["id"]), "sets")
+    numbers = classes.select("class", "key", F.col("number").alias("id"))
+    sets = settle(sets.join(numbers, ["class", "key"]).select("id", "n", "values").dropDuplicates(["id"]), "sets")
     release(spark)
     postings = settle(postings_of(sets, percent), "postings")
     release(spark)
@@ -347,8 +353,10 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if not late.isEmpty():
         joined = connected(links.union(late))
     discard(sets, postings, star, links, open_, late)
-    classes = classes.select("key", "class").join(joined.withColumnRenamed("id", "class"), "class", "left")
-    classes = classes.select("key", F.coalesce("component", "class").alias("component"))
+    linked = settle(classes.select("key", "class", F.col("number").alias("id")).join(joined, "id"), "linked")
+    least = linked.groupBy("component").agg(F.min("class").alias("least"))
+    linked = linked.join(least, "component").select("key", "least")
+    classes = classes.select("key", "class").join(linked, "key", "left").select("key", F.coalesce("least", "class").alias("component"))
     out = rows.select("id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key")).join(classes, "key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))

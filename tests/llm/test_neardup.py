@@ -101,3 +101,13 @@ def test_nine_words_and_eight(spark):
         rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[1:] if i % 2 else words[:-1]))]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
     assert sorted(map(tuple, got.collect())) == brute(rows, 5, 80)
+
+
+def test_repeated_ids(spark):
+    draw = random.Random(4)
+    rows = []
+    for i in range(12):
+        one, two = (draw.choices([f"w{j}" for j in range(500)], k=60) for _ in range(2))
+        rows += [(10 * i, " ".join(one)), (10 * i, " ".join(two)), (10 * i + 1, " ".join([*one, "x"])), (10 * i + 2, " ".join([*two, "y"]))]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, got.collect())) == brute(rows, 5, 80)
