@@ -2,14 +2,18 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next one's docs. All but the last return the
-columns of documents.
+columns of documents. A decision holds for the rows of its id and its text, null
+ids too: rows that repeat an id with another text are documents of their own,
+and rows alike in id, text and source are copied alike, as often as the most of
+them. Copies of a text that has an owner with an id are dropped where their id
+is null; of rows that repeat the owner's id, and of null ids alone, all stay.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,9 +24,15 @@ from quernstone.llm.common import settle, shared_folder, tokenizer_path
 QUALITY = 0.3
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows whose ids are not in `dropped`. These are written first, so that their size is known when the join is planned."""
-    return docs.join(settle(dropped.select("doc_id").distinct(), "dropped"), "doc_id", "left_anti").select(docs.columns)
+def _text_key() -> Column:
+    """The key of a text that the operators give too."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _without(docs: DataFrame, dropped: DataFrame, key: Column) -> DataFrame:
+    """The rows whose id and text key are not in `dropped`. These are written first, so that their size is known when the join is planned."""
+    gone = settle(dropped.toDF("gone_id", "gone_key").distinct(), "dropped")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (key == F.col("gone_key")), "left_anti")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,17 +42,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, exact.deduplicate(docs).where(~F.col("kept")))
+    body = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), "[\\x20\\x09-\\x0D]", "")
+    return _without(docs, exact.deduplicate(docs).where(~F.col("kept")).select("doc_id", F.xxhash64("text_sha256")), F.xxhash64(F.sha2(body, 256)))
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, neardup.near_duplicates(docs).where(~F.col("kept")))
+    return _without(docs, neardup.near_duplicates(docs, keyed=True).where(~F.col("kept")).select("doc_id", "text_key"), _text_key())
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's weight says; the budget is the tokens there are."""
-    copies = settle(mixing.mix(docs).where("copies <> 1").select("doc_id", "copies").groupBy("doc_id").agg(F.max("copies").alias("copies")), "copies")
-    dealt = docs.join(copies, "doc_id", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+    mixed = mixing.mix(docs, keyed=True).groupBy(F.col("doc_id").alias("mixed_id"), F.col("text_key").alias("mixed_key"), F.col("source").alias("mixed_source")).agg(F.max("copies").alias("copies"))
+    copies = settle(mixed.where("copies <> 1"), "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("mixed_id")) & (_text_key() == F.col("mixed_key")) & F.col("source").eqNullSafe(F.col("mixed_source"))
+    dealt = docs.join(copies, same, "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
     return dealt.withColumn("copies", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(docs.columns)
 
 

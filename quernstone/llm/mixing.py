@@ -74,8 +74,8 @@ def exponent(totals: DataFrame, budget: float, entropy: float, repeats: float) -
     return chosen
 
 
-def mix(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """A row for each input row: id, source, tokens, weight of the source, copies. budget: tokens in all, by default as many as there are."""
+def mix(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keyed: bool = False) -> DataFrame:
+    """A row for each input row: id, source, tokens, weight of the source, copies; keyed: and text_key, the text's 64-bit hash. budget: tokens in all, by default as many as there are."""
     frame = only(frame, id_col, text_col, source_col)
     text = frame[f"`{text_col}`"].cast("string")
     source = frame[f"`{source_col}`"].cast("string")
@@ -85,6 +85,7 @@ def mix(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: f
         F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("key"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"),
         F.xxhash64(frame[f"`{id_col}`"], text, F.lit(seed)).alias("place"),
+        *([F.xxhash64(text).alias("text_key")] if keyed else []),
     )
     rows = settle(rows, "places")
     totals = settle(rows.groupBy("key").agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "totals")
@@ -110,7 +111,7 @@ def mix(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: f
     ends = ~F.col("whole") & (F.col("before") <= F.col("rest")) & (F.col("rest") > 0)
     order = Window.partitionBy("key", "block").orderBy(F.expr("shiftrightunsigned(place, 1)"), "place", "id")
     border = dealt.where(ends).withColumn("through", F.col("before") + F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    columns = ["id", "source", "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight")]
+    columns = ["id", "source", "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), *(["text_key"] if keyed else [])]
     passes = F.coalesce("passes", F.lit(0))
     return (
         dealt.where(F.coalesce(~ends, F.lit(True))).select(*columns, (passes + F.coalesce(F.col("whole").cast("int"), F.lit(0))).cast("int").alias("copies"))

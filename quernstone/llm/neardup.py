@@ -133,14 +133,14 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 def _sketches(width: int, percent: int):
     import xxhash
 
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("runs", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("runs", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in text_chunks(batch):
                 sets = [shingle_set(t, width) for t in texts]
                 keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), _lists([run_keys(s, percent) for s in sets], pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_key"), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), _lists([run_keys(s, percent) for s in sets], pa.int64())], schema=schema)
 
     return run
 
@@ -307,11 +307,12 @@ def _bounds(percent: int) -> F.Column:
     return lengths & (F.abs(F.col("at") - F.col("at_m")) <= F.col("n") + F.col("m") - 2 * least)
 
 
-def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """A row for each input row: id, n_shingles, component_id (the smallest id that links reach), kept."""
+def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, keyed: bool = False) -> DataFrame:
+    """A row for each input row: id, n_shingles, component_id (the smallest id that links reach), kept; keyed: and text_key, the text's 64-bit hash."""
     spark, frame = frame.sparkSession, only(frame, id_col, text_col)
     source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), frame[f"`{text_col}`"].cast("string").alias("text"))
-    rows = settle(source.mapInArrow(tidied(_sketches(width, percent)), "id long, n long, key binary, runs array<long>"), "sketches")
+    keyed_source = source.withColumn("text_key", F.xxhash64("text"))
+    rows = settle(keyed_source.mapInArrow(tidied(_sketches(width, percent)), "id long, text_key long, n long, key binary, runs array<long>"), "sketches")
     linkable = rows.where("n > 0 AND id IS NOT NULL")
     grouped = linkable.groupBy("key").agg(F.min("id").alias("class"), F.first("runs").alias("runs"))
     # a class goes by a number of its own from here on: rows that repeat an id may be of several classes
@@ -357,6 +358,6 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     least = linked.groupBy("component").agg(F.min("class").alias("least"))
     linked = linked.join(least, "component").select("key", "least")
     classes = classes.select("key", "class").join(linked, "key", "left").select("key", F.coalesce("least", "class").alias("component"))
-    out = rows.select("id", "n", F.when(F.col("n") > 0, F.col("key")).alias("key")).join(classes, "key", "left")
+    out = rows.select("id", "text_key", "n", F.when(F.col("n") > 0, F.col("key")).alias("key")).join(classes, "key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"), *(["text_key"] if keyed else []))

@@ -1,6 +1,7 @@
 """Each stage of the pipeline against a plain version, on the smallest tables."""
 
 import os
+from collections import Counter
 
 import pytest
 import test_exact
@@ -9,6 +10,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
+from quernstone.llm import mixing
 from quernstone.llm.common import settle, tokenizer_path
 
 DATA = "/root/testdata/sf0.001"
@@ -43,3 +45,19 @@ def test_stages(spark):
             assert all(r[2] == library.encode(texts[r[0]], add_special_tokens=False).ids and r[1] == len(r[2]) for r in after)
         rows = after
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
+
+
+def test_null_and_repeated_ids(spark):
+    schema = "doc_id long, text string, source string"
+    stages = dict(corpus_pipeline.STAGES)
+    run = lambda name, rows: sorted(map(tuple, stages[name](spark, spark.createDataFrame(rows, schema).repartition(3), "").collect()), key=str)
+    rows = [(1, "a text", "s"), (None, "a\ttext", "s"), (None, "b", "s"), (None, None, "s"), (2, "c", "s"), (2, "atext", None)]
+    assert run("exact_dedup", rows) == sorted([rows[0], rows[2], rows[3], rows[4]], key=str)
+    long = [" ".join(f"{name}{i}" for i in range(60)) for name in "xyz"]
+    rows = [(1, long[0], "s"), (2, long[0] + " end", "s"), (2, long[1], "s"), (None, long[1] + " end", "s"), (3, long[2], None)]
+    assert run("near_dedup", rows) == sorted([rows[0], *rows[2:]], key=str)
+    rows = [(i // 2, f"{i} " * 20, "large") for i in range(200)] + [(None if i % 2 else 7, f"{i} " * 9, "small" if i % 3 else None) for i in range(1, 30)]
+    copies = {(r.doc_id, r.text_key): r.copies for r in mixing.mix(spark.createDataFrame(rows, schema), keyed=True).collect()}
+    keys = {tuple(r)[:2]: r.key for r in spark.createDataFrame(rows, schema).selectExpr("doc_id", "text", "xxhash64(text) key").collect()}
+    want = {r: copies[r[0], keys[r[:2]]] for r in rows}
+    assert {0, 1, 2} <= set(want.values()) and Counter(run("mixing", rows)) == Counter({r: n for r, n in want.items() if n})
