@@ -1,6 +1,4 @@
 """All queries of the general part, with the SQL that checks each."""
 
-from quernstone.plans import relational
-
-QUERIES = {**relational.QUERIES}
-ORACLE_SQL = {**relational.ORACLE_SQL}
+from quernstone.plans import aggregates, joins, relational, scalars, sets, sinks, streams, surface, vectors, windows  # noqa: F401
+from quernstone.plans.catalog import ORACLE_SQL, QUERIES  # noqa: F401

@@ -8,25 +8,10 @@ from pyspark.sql import functions as F
 from quernstone.functions.columns import dot, money
 from quernstone.operators.groups import sessions, top_k
 from quernstone.operators.joins import asof_join, interval_join
+from quernstone.plans.catalog import query
 from quernstone.sources.tables import table
 from quernstone.streaming import windows
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name, with the SQL that checks it."""
-
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
 @query("""
     SELECT r_name, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue, count(*) AS n_items
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
@@ -82,8 +67,8 @@ def large_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name""")
 def nation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counted before the join, so that customers and suppliers of a nation never pair up."""
-    customers = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
-    suppliers = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("suppliers"))
+    customers = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.count_distinct("c_custkey").alias("customers"))
+    suppliers = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.count_distinct("s_suppkey").alias("suppliers"))
     joined = table(spark, sf_dir, "nation").join(customers, F.col("n_nationkey") == F.col("c_nationkey"), "left").join(suppliers, F.col("n_nationkey") == F.col("s_nationkey"), "left")
     return joined.select("n_name", F.coalesce("customers", F.lit(0)).alias("customers"), F.coalesce("suppliers", F.lit(0)).alias("suppliers"))
 

@@ -2,19 +2,66 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from quernstone.sinks.files import shared_path
+
+
+def _timed(events: DataFrame, late: str) -> DataFrame:
+    """With the event time as a timestamp `at`, and its watermark on a stream."""
+    timed = events.withColumn("at", F.col("ts").cast("timestamp"))
+    return timed.withWatermark("at", late) if timed.isStreaming else timed
 
 
 def hourly(events: DataFrame, late: str = "10 minutes") -> DataFrame:
     """Events and their value by hour and type. Events later than `late` behind the watermark are left out of a stream."""
-    timed = events.withColumn("at", F.col("ts").cast("timestamp"))
-    if timed.isStreaming:
-        timed = timed.withWatermark("at", late)
     value = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
-    return timed.groupBy(F.window("at", "1 hour").alias("hour"), "event_type").agg(F.count(F.lit(1)).alias("n"), value.alias("value")).select(F.col("hour.start").cast("timestamp_ntz").alias("hour"), "event_type", "n", "value")
+    return _timed(events, late).groupBy(F.window("at", "1 hour").alias("hour"), "event_type").agg(F.count(F.lit(1)).alias("n"), value.alias("value")).select(F.col("hour.start").cast("timestamp_ntz").alias("hour"), "event_type", "n", "value")
+
+
+def sliding(events: DataFrame, late: str = "10 minutes", width: str = "1 hour", step: str = "30 minutes") -> DataFrame:
+    """Events by type in windows that overlap."""
+    return _timed(events, late).groupBy(F.window("at", width, step).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+def user_sessions(events: DataFrame, late: str = "10 minutes", gap: str = "30 minutes") -> DataFrame:
+    """Sessions by user."""
+    found = _timed(events, late).groupBy(F.session_window("at", gap).alias("w"), "user_id").agg(F.count(F.lit(1)).alias("n_events"))
+    return found.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("session_start"), F.col("w.end").cast("timestamp_ntz").alias("session_end"), "n_events")
+
+
+def distinct_events(events: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """Events without those that repeat an id; a stream remembers ids for as long as its watermark allows."""
+    timed = _timed(events, late)
+    once = timed.dropDuplicatesWithinWatermark(["event_id"]) if timed.isStreaming else timed.dropDuplicates(["event_id"])
+    return once.select("event_id", "user_id", "event_type")
+
+
+def clicks_with_views(events: DataFrame, others: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """Clicks joined with the same user's views of the half hour before: two streams, whose watermarks bound the rows kept."""
+    clicks = _timed(events.where("event_type = 'click'"), late).select(F.col("user_id").alias("u"), F.col("event_id").alias("click_id"), F.col("at").alias("clicked"))
+    views = _timed(others.where("event_type = 'view'"), late).select("user_id", F.col("event_id").alias("view_id"), F.col("at").alias("viewed"))
+    return clicks.join(views, F.expr("u = user_id AND viewed BETWEEN clicked - INTERVAL 30 MINUTES AND clicked")).select("click_id", "view_id")
+
+
+def _running(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Count and cents so far; one row for each batch of a user."""
+    n, cents = state.get if state.exists else (0, 0)
+    for frame in frames:
+        n += len(frame)
+        cents += int((frame["value"] * 100).round().sum())
+    state.update((n, cents))
+    yield pd.DataFrame({"user_id": [key[0]], "n": [n], "cents": [cents]})
+
+
+def running_totals(events: DataFrame) -> DataFrame:
+    """Arbitrary state: each user's count and sum, updated batch by batch; the last row of a user holds all events so far."""
+    return events.groupBy("user_id").applyInPandasWithState(_running, "user_id long, n long, cents long", "n long, cents long", "update", GroupStateTimeout.NoTimeout)
 
 
 def stream(spark: SparkSession, path: str) -> DataFrame:
@@ -24,8 +71,19 @@ def stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def drained(frame: DataFrame, mode: str = "complete") -> DataFrame:
-    """A stream's result once all input there is has been read, as a batch frame."""
-    name = f"drained_{uuid.uuid4().hex}"
-    query = frame.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    """A stream's result once all input there is has been read, as a batch frame.
+
+    State and results are files in the shared folder, so nothing passes through
+    the driver: append mode by the file sink; complete mode, of which the last
+    batch is the result, and update mode, whose rows are added, batch by batch.
+    """
+    spark = frame.sparkSession
+    path, state = shared_path(spark, "drained"), shared_path(spark, "state")
+    writer = frame.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True)
+    if mode == "append":
+        query = writer.format("parquet").option("path", path).start()
+    else:
+        kind = "overwrite" if mode == "complete" else "append"
+        query = writer.foreachBatch(lambda batch, _: batch.write.mode(kind).parquet(path)).start()
     query.awaitTermination()
-    return frame.sparkSession.table(name)
+    return spark.read.schema(frame.schema).parquet(path)

@@ -1,6 +1,7 @@
 """Operators on small fixtures, with nulls, ties and late rows; queries with SQL against DuckDB on the smallest tables."""
 
 import os
+import random
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 
 from quernstone.operators.groups import sessions, top_k
 from quernstone.operators.joins import asof_join, interval_join
+from quernstone.operators.vectors import nearest
 from quernstone.plans import registry
+from quernstone.sinks.files import FORMATS, round_trip
 from quernstone.sources.tables import TABLES, table, views
 from quernstone.streaming import windows
 
@@ -17,8 +20,15 @@ DATA = "/root/testdata/sf0.001"
 
 
 def rows_of(frame: pd.DataFrame) -> list[str]:
+    def value(v):
+        if hasattr(v, "tolist") and not hasattr(v, "year"):
+            v = v.tolist()
+        if isinstance(v, list):
+            return v
+        return None if pd.isna(v) else pd.Timestamp(v) if hasattr(v, "year") else v
+
     plain = frame[sorted(frame.columns)].astype(object)
-    return sorted(repr(tuple(None if pd.isna(v) else pd.Timestamp(v) if hasattr(v, "year") else v for v in row)) for row in plain.itertuples(index=False))
+    return sorted(repr(tuple(map(value, row))) for row in plain.itertuples(index=False))
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -39,6 +49,43 @@ def test_asof_takes_the_latest_that_is_not_later(spark):
     assert got == {"a": 101, "b": None, "c": None, "d": None}
 
 
+@pytest.mark.parametrize("step", [1.0, 7.0, 1e6])
+def test_asof_against_a_plain_search(spark, step):
+    draw = random.Random(3)
+    left = [(draw.choice([1, 1, 1, 2, None]), draw.choice([draw.randrange(60), None]), i) for i in range(200)]
+    right = [(draw.choice([1, 1, 2, None]), draw.choice([draw.randrange(60), None]), i) for i in range(60)]
+    got = {r.x: r.v for r in asof_join(spark.createDataFrame(left, "k long, t long, x long"), spark.createDataFrame(right, "k long, t long, v long"), "k", "t", "t", ["v"], step).collect()}
+    for k, t, x in left:
+        held = [(u, v) for q, u, v in right if None not in (k, t, q, u) and q == k and u <= t]
+        assert got[x] == (max(held)[1] if held else None)
+    assert len(got) == len(left)
+
+
+def test_nearest_against_all_pairs(spark):
+    draw = random.Random(4)
+    rows = [(i, [float(draw.randrange(-3, 4)) for _ in range(5)]) for i in range(60)] + [(100, None), (101, [1.0]), (None, [0.0] * 5), (102, [9.0] * 5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    good = [(i, v) for i, v in rows if i is not None and v is not None and len(v) == 5]
+    for block in (2, 100):
+        got = [tuple(r) for r in nearest(frame, frame.where("vec_id < 10"), 4, block=block).orderBy("query_id", "rank").collect()]
+        want = []
+        for i, v in good[:10]:
+            best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in good if j != i)[:4]
+            want += [(i, j, -x, n + 1) for n, (x, j) in enumerate(best)]
+        assert got == want
+    assert nearest(frame, frame.limit(0), 3).collect() == []
+
+
+@pytest.mark.parametrize("kind", FORMATS)
+def test_written_rows_come_back(spark, kind):
+    rows = [(1, 'a "quoted", text\nline', 1.5), (2, None, None), (3, " blank ", -0.0)]
+    frame = spark.createDataFrame(rows, "i long, t string, x double").where("i < 3" if kind == "csv" else "true")
+    frame = frame if kind != "csv" else frame.where("i = 2 OR i = 1").withColumn("t", F.translate("t", "\n", " "))
+    assert sorted(map(tuple, round_trip(frame, kind).collect())) == sorted(map(tuple, frame.collect()))
+    with pytest.raises(ValueError):
+        round_trip(frame, "none")
+
+
 def test_interval_join_at_the_borders(spark):
     left = spark.createDataFrame([(1, 0.0), (1, 3599.0), (1, 3600.0), (1, 7201.0), (2, 3600.0)], "k long, at double")
     right = spark.createDataFrame([(1, 3600.0, 7200.0)], "q long, low double, high double")
