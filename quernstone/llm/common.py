@@ -9,8 +9,9 @@ import json
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes that `[^\x20\x09-\x0D]+` leaves out of words; the same that bytes.split() splits at.
@@ -36,16 +37,19 @@ def read_vocabulary(path: str, limit: int = 64 << 20) -> bytes:
     return data
 
 
-def only(frame: DataFrame, *names: str) -> DataFrame:
-    """The named columns, taken by place, so that extra columns, clashing ones too, never reach an operator.
+def places(columns: Sequence[str], *names: str) -> int | list[int]:
+    """Where the named columns are: a name means the first column that is spelt so, else the first that differs in case only."""
+    spelt, folded = list(columns), [c.lower() for c in columns]
+    found = [spelt.index(n) if n in spelt else folded.index(n.lower()) if n.lower() in folded else None for n in names]
+    if None in found:
+        raise ValueError(f"no column {names[found.index(None)]!r} among {spelt}")
+    return found[0] if len(names) == 1 else found
+
 
-    A name means the first column that is spelt so, else the first that differs in case only.
-    """
-    spelt, folded = frame.columns, [c.lower() for c in frame.columns]
-    places = [spelt.index(n) if n in spelt else folded.index(n.lower()) if n.lower() in folded else None for n in names]
-    if None in places:
-        raise ValueError(f"no column {names[places.index(None)]!r} among {spelt}")
-    return frame.toDF(*[f"c{i}" for i in range(len(spelt))]).select(*[F.col(f"c{i}").alias(n) for i, n in zip(places, names)])
+def only(frame: DataFrame, *names: str) -> DataFrame:
+    """The named columns, taken by place, so that extra columns, clashing ones too, never reach an operator."""
+    at = places(frame.columns, *names)
+    return frame.toDF(*[f"c{i}" for i in range(len(frame.columns))]).select(*[F.col(f"c{i}").alias(n) for i, n in zip([at] if isinstance(at, int) else at, names)])
 
 
 def chunks(sizes: Sequence[int], budget: int = 4 << 20) -> Iterator[tuple[int, int]]:
@@ -86,10 +90,37 @@ def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     return wrapped
 
 
+#: Paths that were handed out within cleaning(), innermost last.
+_made: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def cleaning(spark: SparkSession) -> Iterator[None]:
+    """Deletes on leaving the folders that operators wrote within; for callers that have written the result by then."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    made.getFileSystem(spark._jsc.hadoopConfiguration()).delete(made, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share. Only without that setting (tests): one in the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below spark.checkpoint.dir, which driver and executors share. Only a local session (tests) may do without that setting: the folder is in the warehouse then."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not (spark.conf.get("spark.master", None) or "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: driver and executors need a folder that they share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _made:
+        _made[-1].append(path)
+    return path
 
 
 def settle(frame: DataFrame, name: str) -> DataFrame:
@@ -105,14 +136,57 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
 def discard(*settled: DataFrame) -> None:
     """Deletes the folders of settled frames that no later plan reads."""
     for frame in settled:
-        path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(frame.settled_at)
-        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(frame.sparkSession, frame.settled_at)
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of plans that nothing refers to any more; it goes by the driver's garbage collection."""
+    """Lets Spark's cleaner delete the shuffle files of plans that nothing refers to any more; it goes by the driver's garbage collection. Saves disk, changes no result."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    with contextlib.suppress(AttributeError):  # there is no such handle in Spark Connect
+        spark.sparkContext._jvm.System.gc()
+
+
+#: Cells of a table of marks, as a power of two: 16 for each key, and 2^30 (128 MB to broadcast) at most. From 2^26 keys on
+#: more rows are marked in vain; they cost work in the exact steps that follow and change nothing.
+FEWEST, MOST = 16, 30
+
+
+class Marks:
+    """A broadcast table of bits in which each key's cell is set; a row whose cell is not set has none of the keys."""
+
+    def __init__(self, keys: DataFrame):
+        """keys: one long column, written already (it is read twice)."""
+        spark = keys.sparkSession
+        self.bits = min(MOST, max(FEWEST, (16 * keys.count()).bit_length()))
+        cells = keys.toDF("key").select(self.cell(F.col("key")).alias("cell")).distinct()
+        slices = cells.repartition(F.shiftright("cell", FEWEST)).sortWithinPartitions("cell").mapInArrow(_packed, "slice int, bits binary")
+        table, width = np.zeros(1 << (self.bits - 3), np.uint8), 1 << (FEWEST - 3)
+        for at, bits in slices.toLocalIterator():  # 2^(bits - 16) rows of 8 KB at most
+            table[at * width : (at + 1) * width] |= np.frombuffer(bits, np.uint8)
+        self.table = spark.sparkContext.broadcast(table.tobytes())
+
+    def cell(self, key: Column) -> Column:
+        return key.bitwiseAND((1 << self.bits) - 1)
+
+    def tester(self) -> Callable[[np.ndarray], np.ndarray]:
+        """A function for workers: whether cells are set."""
+        table = self.table
+
+        def test(cells: np.ndarray) -> np.ndarray:
+            return (np.frombuffer(table.value, np.uint8)[cells >> 3] >> (cells & 7).astype(np.uint8) & 1).astype(bool)
+
+        return test
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells in order to bits, a row or a few for each slice of 2^FEWEST cells."""
+    for batch in batches:
+        cells = batch.column("cell").to_numpy(zero_copy_only=False)
+        slices = cells >> FEWEST
+        for part in np.split(cells, np.flatnonzero(slices[1:] != slices[:-1]) + 1):
+            held = np.zeros(1 << FEWEST, np.uint8)
+            held[part & ((1 << FEWEST) - 1)] = 1
+            yield pa.RecordBatch.from_arrays([pa.array(part[:1] >> FEWEST, pa.int32()), pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())], names=["slice", "bits"])
 
 
 def canonical(value: object) -> str:
