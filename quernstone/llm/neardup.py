@@ -17,15 +17,21 @@ pairs of a group:
    class posts the first values that a partner must share one of (prefix filter:
    exact, whatever the order). Values that no other class has take the first
    places, so that documents which only share a page frame, or an ancestor of
-   too low a likeness, rarely meet. In each list, the members are paired with
-   the first one; pairs whose union sketch rules the link out are dropped, the
-   others confirmed on whole sets, and linked classes joined to components.
+   too low a likeness, rarely meet. A list's hub is the member of most slack: the
+   values that it may still lack by its size, less those that it has passed
+   before. The members are paired with the hub; pairs whose union sketch rules the
+   link out are dropped, the others confirmed on whole sets, and linked classes
+   joined to components.
 3. What can still be missing are links between members of one list that are in
-   different components. In lists of at most LONG members these pairs are made,
-   after length and position bounds, and confirmed in the same way. Longer lists
-   are joined to families; a family is cut into blocks of bounded size, each two
-   blocks meet in one task, which counts common values of all its rows at once
-   and gives back no more links than join its components.
+   different components. In the list of the first value that two linked sets
+   share, what both have passed before is in one of them only, so their slacks add
+   up to at least none. So members whose slack does not make up for the hub's
+   leave the list: of many documents that share a frame and are too unlike, none
+   stays. In lists of at most LONG members the pairs that are left are made, by
+   lengths and slacks, and confirmed in the same way. Longer lists are joined to
+   families; a family is cut into blocks of bounded size, each two blocks meet in
+   one task, which counts common values of all its rows at once and gives back no
+   more links than join its components.
 
 Defined results: words are the runs outside 0x20 and 0x09-0x0D after A-Z are
 lower-cased; with fewer words than a shingle has, the whole sequence is the one
@@ -44,13 +50,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import discard, only, release, settle, text_chunks, tidied
+from quernstone.llm.common import Marks, discard, only, release, settle, text_chunks, tidied
 from quernstone.llm.components import connected
 
 #: Retained values, and how many neighbours make a run at most.
 K, RUN = 64, 3
-#: Bits of the table that marks classes with possible partners: a fixed size, which bounds what is broadcast.
-MARKS = 1 << 24
 #: Members from which on a list is worked on in blocks; rows and values of a block.
 LONG, BLOCK_ROWS, BLOCK_VALUES = 128, 1024, 1 << 20
 #: A pair is dropped unread if the union sketch's estimate is this far below the threshold: over seven standard deviations at k = 64.
@@ -145,31 +149,19 @@ def _sketches(width: int, percent: int):
     return run
 
 
-def _mark(column: str) -> F.Column:
-    return F.pmod(F.xxhash64(column), F.lit(MARKS))
-
-
-def _bitmap(ids: DataFrame) -> bytes:
-    """A table of MARKS bits in which each id's cell is set. It is put together in slices on the executors; its size is fixed."""
-    slices = ids.select(_mark("id").alias("cell")).distinct().groupBy(F.shiftright("cell", 16).alias("slice")).agg(F.collect_list(F.col("cell").bitwiseAND(0xFFFF).cast("int")).alias("cells"))
-    table = np.zeros(MARKS, np.uint8)
-    for part, cells in slices.toLocalIterator():  # MARKS / 65,536 rows
-        table[(part << 16) + np.array(cells, np.int64)] = 1
-    return np.packbits(table).tobytes()
-
-
-def _sets(width: int, marks, wanted: str):
-    """Whole sets, and their keys, of the rows whose mark is set."""
+def _sets(width: int, marks: Marks):
+    """Whole sets, and their keys, of the rows whose cell is marked."""
     import xxhash
 
+    marked = marks.tester()
+
     schema = pa.schema([("class", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("values", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
 
-        bits = np.unpackbits(np.frombuffer(marks.value, np.uint8)).view(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(bits[batch.column(wanted).to_numpy(zero_copy_only=False)]))
+            batch = batch.filter(pa.array(marked(batch.column("cell").to_numpy(zero_copy_only=False))))
             for part, texts in text_chunks(batch):
                 sets = [shingle_set(t, width) for t in texts]
                 held = [s.tobytes() for s in sets]
@@ -188,7 +180,10 @@ def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def postings_of(sets: DataFrame, percent: int) -> DataFrame:
-    """value, id, n, at: the values, rarest first, one of which any partner of at least this likeness must hold, with their places.
+    """value, id, n, at, excess: the values, rarest first, one of which any partner of at least this likeness must hold, with their places.
+
+    excess is the slack with its sign turned, times 100 + percent: a pair that is linked and meets here first has a sum of none at most, since
+    (n - common) + (m - common) is at least the sum of their places, and at most (n + m) * (100 - percent) / (100 + percent).
 
     Values of a single set come first in the order and match nothing, so they only take up places.
     """
@@ -199,7 +194,8 @@ def postings_of(sets: DataFrame, percent: int) -> DataFrame:
     alone = F.col("n") - F.size("shared")
     posted = shared.join(sets.select("id", "n"), "id").withColumn("alone", alone).where(prefix > alone)
     posted = posted.select("id", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), (prefix - alone).cast("int"))).alias("pos", "posted"))
-    return posted.select(F.col("posted.value").alias("value"), "id", "n", (F.col("alone") + F.col("pos")).cast("int").alias("at"))
+    at = (F.col("alone") + F.col("pos")).cast("int")
+    return posted.select(F.col("posted.value").alias("value"), "id", "n", at.alias("at"), (at * (100 + percent) - F.col("n") * (100 - percent)).cast("long").alias("excess"))
 
 
 def block_links(ids: np.ndarray, components: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -301,28 +297,34 @@ def _confirmed(percent: int):
 
 
 def _bounds(percent: int) -> F.Column:
-    """What a link of a and b demands where they meet first in a list: lengths, and the values passed before."""
+    """What a link of a and b demands in any list of a value that they share: lengths, and the values passed before."""
     lengths = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
     least = F.ceil((F.col("n") + F.col("m")) * F.lit(percent) / F.lit(100 + percent) - F.lit(1e-6))
     return lengths & (F.abs(F.col("at") - F.col("at_m")) <= F.col("n") + F.col("m") - 2 * least)
 
 
 def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, keyed: bool = False) -> DataFrame:
-    """A row for each input row: id, n_shingles, component_id (the smallest id that links reach), kept; keyed: and text_key, the text's 64-bit hash."""
+    """A row for each input row: id, n_shingles, component_id (the smallest id that links reach), kept.
+
+    keyed: and text_key, the text's 64-bit hash, and owner, which tells rows of the
+    component's smallest id and, of these, least text_key from all others.
+    """
     spark, frame = frame.sparkSession, only(frame, id_col, text_col)
-    source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), frame[f"`{text_col}`"].cast("string").alias("text"))
+    text = F.coalesce(frame[f"`{text_col}`"].cast("string"), F.lit(""))
+    source = frame.select(frame[f"`{id_col}`"].cast("long").alias("id"), text.alias("text"))
     keyed_source = source.withColumn("text_key", F.xxhash64("text"))
     rows = settle(keyed_source.mapInArrow(tidied(_sketches(width, percent)), "id long, text_key long, n long, key binary, runs array<long>"), "sketches")
     linkable = rows.where("n > 0 AND id IS NOT NULL")
-    grouped = linkable.groupBy("key").agg(F.min("id").alias("class"), F.first("runs").alias("runs"))
+    grouped = linkable.groupBy("key").agg(F.min(F.struct("id", "text_key")).alias("first"), F.first("runs").alias("runs"))
     # a class goes by a number of its own from here on: rows that repeat an id may be of several classes
-    classes = settle(grouped.withColumn("number", F.monotonically_increasing_id()), "classes")
+    classes = settle(grouped.select("key", F.col("first.id").alias("class"), "first", "runs", F.monotonically_increasing_id().alias("number")), "classes")
     runs = classes.select("class", F.explode("runs").alias("run"))
-    shared = runs.groupBy("run").agg(F.count(F.lit(1)).alias("members"), F.min("class").alias("class"))
-    partners = runs.join(shared.where("members > 1").select("run"), "run", "left_semi").select(F.col("class").alias("id"))
-    marks = spark.sparkContext.broadcast(_bitmap(partners))
-    marked = source.where("id IS NOT NULL").select("id", "text", _mark("id").alias("mark"))
-    sets = marked.mapInArrow(tidied(_sets(width, marks, "mark")), "class long, key binary, n long, values binary")
+    shared = runs.groupBy("run").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    partners = settle(runs.join(shared.select("run"), "run", "left_semi").select(F.xxhash64("class").alias("key")).distinct(), "partners")
+    marks = Marks(partners)
+    discard(partners)
+    marked = source.where("id IS NOT NULL").select("id", "text", marks.cell(F.xxhash64("id")).alias("cell"))
+    sets = marked.mapInArrow(tidied(_sets(width, marks)), "class long, key binary, n long, values binary")
     # rows of one class may be marked alike: one set for each class
     release(spark)
     numbers = classes.select("class", "key", F.col("number").alias("id"))
@@ -336,28 +338,32 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
         both = pairs.join(values.withColumnsRenamed({"id": "b", "values": "right"}), "b").join(values.withColumnsRenamed({"id": "a", "values": "left"}), "a")
         return both.select("a", "b", "left", "right").mapInArrow(tidied(_confirmed(percent)), "a long, b long")
 
-    firsts = postings.groupBy("value").agg(F.min(F.struct("id", "n", "at")).alias("first"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    met = postings.join(firsts.select("value", F.col("first.id").alias("a"), F.col("first.n").alias("m"), F.col("first.at").alias("at_m")), "value")
-    star = settle(met.where((F.col("id") != F.col("a")) & _bounds(percent)).select("a", F.col("id").alias("b")).distinct(), "pairs")
+    hubs = postings.groupBy("value").agg(F.min(F.struct("excess", "id", "n", "at")).alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    met = postings.join(hubs.select("value", F.col("hub.id").alias("a"), F.col("hub.n").alias("m"), F.col("hub.at").alias("at_m")), "value")
+    star = settle(met.where((F.col("id") != F.col("a")) & _bounds(percent)).select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), "pairs")
     links = settle(confirm(star), "links")
     joined = connected(links)
     release(spark)
-    # lists whose members are not all in one component yet
-    placed = postings.join(firsts.select("value"), "value", "left_semi").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # lists whose members are not all in one component yet, without the members that no other one there can be linked with
+    possible = postings.join(hubs.select("value", F.col("hub.excess").alias("least")), "value").where(F.col("excess") + F.col("least") <= 0).drop("least")
+    placed = possible.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("value", "size")
     open_ = settle(placed.join(mixed, "value"), "open")
     short = open_.where(F.col("size") <= LONG)
-    other = short.select(F.col("value").alias("value_m"), F.col("id").alias("a"), F.col("n").alias("m"), F.col("at").alias("at_m"), F.col("component").alias("component_m"))
-    rest = short.join(other, (F.col("value") == F.col("value_m")) & (F.col("a") < F.col("id")) & (F.col("component") != F.col("component_m")) & _bounds(percent))
+    other = short.select(F.col("value").alias("value_m"), F.col("id").alias("a"), F.col("n").alias("m"), F.col("at").alias("at_m"), F.col("excess").alias("excess_m"), F.col("component").alias("component_m"))
+    rest = short.join(other, (F.col("value") == F.col("value_m")) & (F.col("a") < F.col("id")) & (F.col("component") != F.col("component_m")) & (F.col("excess") + F.col("excess_m") <= 0) & _bounds(percent))
     rest = rest.select("a", F.col("id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
     late = settle(confirm(rest).union(_family_links(open_.where(F.col("size") > LONG), values, percent)), "links")
     if not late.isEmpty():
-        joined = connected(links.union(late))
+        first_joined, joined = joined, connected(links.union(late))
+        discard(first_joined)
     discard(sets, postings, star, links, open_, late)
-    linked = settle(classes.select("key", "class", F.col("number").alias("id")).join(joined, "id"), "linked")
-    least = linked.groupBy("component").agg(F.min("class").alias("least"))
+    linked = settle(classes.select("key", "first", F.col("number").alias("id")).join(joined, "id"), "linked")
+    discard(joined)
+    least = linked.groupBy("component").agg(F.min("first").alias("least"))
     linked = linked.join(least, "component").select("key", "least")
-    classes = classes.select("key", "class").join(linked, "key", "left").select("key", F.coalesce("least", "class").alias("component"))
-    out = rows.select("id", "text_key", "n", F.when(F.col("n") > 0, F.col("key")).alias("key")).join(classes, "key", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"), *(["text_key"] if keyed else []))
+    classes = classes.select("key", "first").join(linked, "key", "left").select("key", F.coalesce("least", "first").alias("least"))
+    out = rows.select("id", "text_key", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("key")).alias("key")).join(classes, "key", "left")
+    component = F.coalesce("least.id", "id")
+    owner = F.col("least").isNull() | ((F.col("least.id") == F.col("id")) & (F.col("least.text_key") == F.col("text_key")))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"), *(["text_key", owner.alias("owner")] if keyed else []))

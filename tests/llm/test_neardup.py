@@ -1,5 +1,6 @@
 """Near duplicates against all pairs, on a small fixture."""
 
+import itertools
 import random
 
 import numpy as np
@@ -94,6 +95,35 @@ def test_small_sets_share_a_run():
                 assert len(np.intersect1d(neardup.run_keys(x, percent), neardup.run_keys(y, percent)))
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_no_order_of_small_sets_loses_a_run(percent):
+    """All linked sets of up to 12 values, in all orders of their hashes."""
+    for n, m in itertools.combinations_with_replacement(range(1, 13), 2):
+        for shared in range(1, n + 1):
+            a, b = n - shared, m - shared
+            if not a + b or not neardup.enough(shared, n, m, percent):
+                continue
+            every = range(shared + a + b)
+            for others in itertools.combinations(every, a + b):
+                for left in itertools.combinations(others, a):
+                    x = np.array([i for i in every if i not in others or i in left], np.uint64)
+                    y = np.array([i for i in every if i not in left], np.uint64)
+                    assert set(neardup.run_keys(x, percent).tolist()) & set(neardup.run_keys(y, percent).tolist()), (n, m, shared, others, left)
+
+
+@pytest.mark.parametrize("long", [128, 3])
+def test_frames_with_own_parts(spark, monkeypatch, long):
+    """Documents of one frame, some alike enough by their sizes and most not."""
+    monkeypatch.setattr(neardup, "LONG", long)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 7)
+    draw = random.Random(11)
+    frame = [f"f{i}" for i in range(60)]
+    rows = [(i, " ".join(frame + [f"d{i}x{j}" for j in range(draw.choice([4, 8, 9, 10, 12, 13, 14]))])) for i in range(60)]
+    rows += [(100 + i, " ".join(draw.sample(frame, 3) + frame[3:] + [f"e{i}"])) for i in range(20)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, got.collect())) == brute(rows, 5, 80)
+
+
 def test_nine_words_and_eight(spark):
     rows = []
     for i in range(200):
