@@ -1,18 +1,27 @@
 """The Merkle audit against a plain comparison, and the DuckDB SQL of the query."""
 
 import hashlib
+import uuid
+
+import pytest
 
 from pyspark.sql import functions as F
 
 from quernstone.llm import warc
 
 
+def record_of(number, url, html):
+    html, url = html or "", url or "about:blank"
+    name = hashlib.md5(f"{'' if number is None else number} {url} {html}".encode()).hexdigest()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(html.encode())}\r\n\r\n{html}".encode()
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{uuid.UUID(name)}>\r\nWARC-Date: 1970-01-01T00:00:00Z\r\nWARC-Target-URI: {url}\r\nContent-Type: application/http;msgtype=response\r\nContent-Length: {len(http)}\r\n\r\n"
+    return head.encode() + http + b"\r\n\r\n"
+
+
 def plain(rows):
     made = {}
     for number, url, html in rows:
-        html, url = html or "", url or ""
-        head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{'' if number is None else number}>\r\nWARC-Target-URI: {url}\r\nContent-Type: text/html\r\nContent-Length: {len(html.encode())}\r\n\r\n"
-        made.setdefault(None if number is None else number // 256, []).append((number or 0, (head + html + "\r\n\r\n").encode()))
+        made.setdefault(None if number is None else number // 256, []).append((number or 0, record_of(number, url, html)))
     out = []
     for segment, records in made.items():
         offset = 0
@@ -51,3 +60,26 @@ def test_large_segments_and_edges(spark):
     assert warc.report(warc.records(same.limit(0)), warc.records(same.limit(0))).collect() == []
     missing = warc.records(spark.createDataFrame([(None, "u", "a"), (None, None, None)], "page_id long, url string, html string"))
     assert {r.segment < 0 for r in missing.collect()} == {True}
+
+
+def test_records_are_read_back(spark):
+    rows = [(1, "http://x/é", "<p>é</p>\r\n\r\nWARC/1.0"), (2, None, None), (None, " a b\n", "x" * 100_000), (3, "u", "")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as record", "'x' as URL")
+    made = warc.records(frame)
+    got = sorted((r.url, r.html) for r in warc.read(made).collect())
+    assert got == sorted([("http://x/é", rows[0][2]), ("about:blank", ""), ("a%20b", rows[2][2]), ("u", "")])
+    assert {r.date for r in warc.read(made).collect()} == {warc.DATE} and all(uuid.UUID(r.record_id[10:-1]) for r in warc.read(made).collect())
+    whole = b"".join(r.record for r in made.collect())
+    assert len(list(warc.parse(whole))) == 4 and list(warc.parse(b"")) == []
+    for broken in (whole[:-1], b"x" + whole, whole[:40]):
+        with pytest.raises(ValueError):
+            list(warc.parse(broken))
+    assert warc.read(warc.damaged(made, F.lit(False), F.lit(True))).collect() == []
+
+
+def test_a_repeated_record(spark):
+    rows = [(5, "u", "same")] * 9000 + [(5, "u", "other"), (6, "u", "next")]
+    manifest = warc.records(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = warc.report(manifest, warc.damaged(manifest, F.col("id") == 6, F.lit(False)))
+    assert sorted((r.page_id, r.segment, r.place, r.offset, r.length, r.digest) for r in got.collect()) == sorted(plain(rows))
+    assert [(r.page_id, r.place, r.status) for r in got.where("status <> 'ok'").collect()] == [(6, 9001, "corrupt")]
