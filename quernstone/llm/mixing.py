@@ -11,32 +11,43 @@ Weights are realised by budgeted block permutations. A source's documents are
 permuted by a seeded hash, and the permutation is cut into blocks of bounded
 size by the hash's high bits. A source takes whole passes over all its
 documents, then whole blocks in order while its budget lasts, then the documents
-of the block in which it ends, in order, as far as they fit. Only one block of
-each source is ordered document by document. All of it is DataFrame operations.
+of the block in which it ends, in order, as far as they fit: the place of the
+first one that does not is the source's cut. So the realisation of a source is one
+row (passes, cut), and each document's copies follow from its own hash. Only one
+block of each source is ordered by place, its tokens summed by place before.
+Blocks are summed in two levels, so that no window is as long as a source.
+All of it is DataFrame operations.
 
 Defined results: tokens are the runs outside 0x20 and 0x09-0x0D; a null text is
 empty and has none; documents without tokens go with the place their hash gives
 them; a null source is a source of its own; a source without tokens has weight 0
-and no copies; rows that repeat id and text have the same place; an empty table
-gives an empty result; columns other than those named are not read.
+and no copies; rows that repeat id and text have the same place and as many
+copies; an empty table gives an empty result; columns other than those named are
+not read.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import discard, only, settle
+from quernstone.llm.common import discard, only, places, settle
 
 #: Tokens of a block, about.
 BLOCK = 1 << 20
 #: Passes of bisection, and points in each: 2 ** -24 in the end.
 PASSES, POINTS = 6, 16
+#: Blocks of a range, whose tokens are summed before.
+SPAN = 1 << 12
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def _tokens(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def _state(totals: DataFrame, exponents: list[float], total: float, budget: float) -> list[tuple[float, float]]:
     """For each exponent, the entropy of the weights and the most repeated source's passes."""
     share, log = F.col("tokens") / F.lit(total), F.ln(F.col("tokens") / F.lit(total))
@@ -74,20 +85,17 @@ def exponent(totals: DataFrame, budget: float, entropy: float, repeats: float) -
     return chosen
 
 
-def mix(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keyed: bool = False) -> DataFrame:
-    """A row for each input row: id, source, tokens, weight of the source, copies; keyed: and text_key, the text's 64-bit hash. budget: tokens in all, by default as many as there are."""
-    frame = only(frame, id_col, text_col, source_col)
-    text = frame[f"`{text_col}`"].cast("string")
-    source = frame[f"`{source_col}`"].cast("string")
-    rows = frame.select(
-        frame[f"`{id_col}`"].alias("id"),
-        source.alias("source"),
-        F.coalesce(F.concat(F.lit("s"), source), F.lit("n")).alias("key"),
-        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("tokens"),
-        F.xxhash64(frame[f"`{id_col}`"], text, F.lit(seed)).alias("place"),
-        *([F.xxhash64(text).alias("text_key")] if keyed else []),
-    )
-    rows = settle(rows, "places")
+def _key(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
+
+
+def _unsigned(place: Column) -> Column:
+    """A number whose signed order is the unsigned order of the hash."""
+    return place.bitwiseXOR(F.lit(-(2**63)))
+
+
+def cuts(rows: DataFrame, entropy: float, repeats: float, budget: float | None, block: int) -> DataFrame:
+    """rows: key, tokens, place. A row for each source with tokens: key, weight, passes, cut (null: no document gets one more)."""
     totals = settle(rows.groupBy("key").agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "totals")
     total = totals.agg(F.sum("tokens")).first()[0] or 0
     budget = float(total if budget is None else budget)
@@ -101,20 +109,59 @@ def mix(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: f
     plan = settle(plan.withColumn("bits", F.least(F.lit(40), F.greatest(F.lit(0), F.ceil(F.log2(F.col("all") / block)))).cast("int")), "plan")
     discard(totals)
     # sources may be too many to broadcast; one of them may be hot: an equi-join that Spark splits
-    placed = rows.join(plan, "key", "left")
-    number = F.when(F.col("bits") > 0, F.expr("shiftrightunsigned(place, 64 - bits)")).otherwise(F.lit(0))
-    placed = placed.withColumn("block", number)
-    blocks = placed.where("all IS NOT NULL").groupBy("key", "block").agg(F.sum("tokens").alias("held"), F.first("rest").alias("rest"))
-    after = F.sum("held").over(Window.partitionBy("key").orderBy("block"))
-    blocks = blocks.withColumn("after", after).select("key", "block", ((F.col("after") <= F.col("rest")) & (F.col("rest") > 0)).alias("whole"), (F.col("after") - F.col("held")).alias("before"))
-    dealt = placed.join(blocks, ["key", "block"], "left")
-    ends = ~F.col("whole") & (F.col("before") <= F.col("rest")) & (F.col("rest") > 0)
-    order = Window.partitionBy("key", "block").orderBy(F.expr("shiftrightunsigned(place, 1)"), "place", "id")
-    border = dealt.where(ends).withColumn("through", F.col("before") + F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    columns = ["id", "source", "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), *(["text_key"] if keyed else [])]
-    passes = F.coalesce("passes", F.lit(0))
-    return (
-        dealt.where(F.coalesce(~ends, F.lit(True))).select(*columns, (passes + F.coalesce(F.col("whole").cast("int"), F.lit(0))).cast("int").alias("copies"))
-        .unionByName(border.select(*columns, (passes + (F.col("through") <= F.col("rest")).cast("int")).cast("int").alias("copies")))
-        .withColumnRenamed("id", id_col)
-    )
+    placed = rows.where("tokens > 0").join(plan.where("rest > 0").select("key", "bits", "rest"), "key")
+    placed = placed.select("key", "place", "tokens", "rest", F.when(F.col("bits") > 0, F.expr("shiftrightunsigned(place, 64 - bits)")).otherwise(F.lit(0)).alias("block"))
+    blocks = settle(placed.groupBy("key", "block").agg(F.sum("tokens").alias("held"), F.first("rest").alias("rest")), "blocks")
+    # the block in which a source ends: first among ranges of SPAN blocks, then in that range
+    ranges = blocks.groupBy("key", F.floor(F.col("block") / SPAN).alias("span")).agg(F.sum("held").alias("held"), F.first("rest").alias("rest"))
+    span = _ending(ranges, ["key"], "span", F.lit(0)).select("key", "span", F.col("before").alias("start"))
+    inside = blocks.withColumn("span", F.floor(F.col("block") / SPAN)).join(span, ["key", "span"])
+    last = settle(_ending(inside, ["key"], "block", F.col("start")).select("key", "block", "before", "rest"), "last")
+    border = placed.drop("rest").join(last, ["key", "block"]).groupBy("key", "place").agg(F.sum("tokens").alias("held"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+    order = Window.partitionBy("key").orderBy(_unsigned(F.col("place")))
+    through = F.col("before") + F.sum("held").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    ends = border.withColumn("through", through).where("through > rest").groupBy("key").agg(F.min(_unsigned(F.col("place"))).alias("cut"))
+    made = settle(plan.select("key", "weight", "passes").join(ends, "key", "left"), "cuts")
+    discard(blocks, last, plan)
+    return made
+
+
+def _ending(sums: DataFrame, by: list[str], order: str, start: Column) -> DataFrame:
+    """The row of each source in which the running sum of `held` from `start` passes `rest`, with the sum before it."""
+    before = start + F.sum("held").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)) - F.col("held")
+    return sums.withColumn("before", before).where((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("held") > F.col("rest")))
+
+
+def _copies(place: Column) -> Column:
+    more = F.when(_unsigned(place) < F.col("cut"), 1).otherwise(0)
+    return F.coalesce(F.col("passes") + more, F.lit(0)).cast("int")
+
+
+def mix(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keyed: bool = False) -> DataFrame:
+    """A row for each input row: id, source, tokens, weight of the source, copies; keyed: and text_key, the text's 64-bit hash. budget: tokens in all, by default as many as there are."""
+    frame = only(frame, id_col, text_col, source_col)
+    text = frame[f"`{text_col}`"].cast("string")
+    source = frame[f"`{source_col}`"].cast("string")
+    rows = frame.select(frame[f"`{id_col}`"].alias("id"), source.alias("source"), _key(source).alias("key"), _tokens(text).alias("tokens"), F.xxhash64(frame[f"`{id_col}`"], text, F.lit(seed)).alias("place"), *([F.xxhash64(text).alias("text_key")] if keyed else []))
+    rows = settle(rows, "places")
+    dealt = rows.join(cuts(rows.select("key", "tokens", "place"), entropy, repeats, budget, block), "key", "left")
+    return dealt.select(F.col("id").alias(id_col), "source", "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), _copies(F.col("place")).alias("copies"), *(["text_key"] if keyed else []))
+
+
+def deal(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The frame's rows with all their columns, each as often as its copies say.
+
+    The documents are joined with one row of each source; texts are only moved
+    where these rows are too many for Spark to broadcast.
+    """
+    names = frame.columns
+    found = only(frame, id_col, text_col, source_col)
+    rows = found.select(_key(found[f"`{source_col}`"].cast("string")).alias("key"), _tokens(found[f"`{text_col}`"].cast("string")).alias("tokens"), F.xxhash64(found[f"`{id_col}`"], found[f"`{text_col}`"].cast("string"), F.lit(seed)).alias("place"))
+    rows = settle(rows, "places")
+    made = cuts(rows, entropy, repeats, budget, block)
+    discard(rows)
+    at = {name: f"c{places(names, name)}" for name in (id_col, text_col, source_col)}
+    plain = frame.toDF(*[f"c{i}" for i in range(len(names))])
+    placed = plain.withColumn("key", _key(F.col(at[source_col]).cast("string"))).withColumn("place", F.xxhash64(at[id_col], F.col(at[text_col]).cast("string"), F.lit(seed)))
+    dealt = placed.join(made, "key", "left").withColumn("copies", _copies(F.col("place"))).where("copies > 0")
+    return dealt.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(*plain.columns).toDF(*names)
