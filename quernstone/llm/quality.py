@@ -5,8 +5,8 @@ with their borders, and for each word a mark whether it repeats one of the two
 words before it; all but the marks are hashed into 2^BITS cells. Each cell has a
 learned vector; a document is the mean of its features' vectors, and a softmax
 over two classes reads it. Training is stochastic gradient descent in numpy on
-whole texts of a bounded sample of labelled rows, `sample` at most: those whose
-ids hash lowest. For scoring, each cell's vector is multiplied out to one
+whole texts of a bounded sample of labelled rows, `sample` and `sample_bytes` at
+most: those whose ids hash lowest. For scoring, each cell's vector is multiplied out to one
 number, so that the executors get a table of fixed size.
 
 Defined results: a null text is empty; a text without words scores by the bias
@@ -18,6 +18,7 @@ columns other than those named are not read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import only, text_chunks, tidied
+from quernstone.llm.common import discard, only, places, settle, text_chunks, tidied
 
 BITS, GRAMS = 18, (3, 4)
 CELLS = 1 << BITS
+#: Characters whose features are made at a time; they take some 60 bytes each.
+CHARS = 1 << 18
 #: After the hashed cells: no repetition, the word before repeated, the one before that.
 MARKS = 3
 ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -129,13 +132,32 @@ def scores(texts: list[str], table: np.ndarray, bias: float) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(sums / np.maximum(counts, 1) + bias, -30, 30)))
 
 
-def train(frame: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4000, **settings) -> SubwordClassifier:
-    """Learns from at most `sample` labelled rows of frame; the caller leaves out rows that are to be held out."""
+def train(frame: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4000, sample_bytes: int = 64 << 20, **settings) -> SubwordClassifier:
+    """Learns from at most `sample` labelled rows of frame, of `sample_bytes` in all; the caller leaves out rows that are to be held out.
+
+    Rows are taken in order of their ids' hashes; one that would exceed the bytes is left out.
+    """
     frame, labels = only(frame, id_col, text_col), only(labels, id_col, label_col)
     ids = labels.select(labels[f"`{id_col}`"].alias("id"), labels[f"`{label_col}`"].cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
-    chosen = ids.orderBy(F.xxhash64("id"), "id", "label").limit(sample)
-    rows = frame.select(frame[f"`{id_col}`"].alias("id"), frame[f"`{text_col}`"].cast("string").alias("text")).join(F.broadcast(chosen), "id")
-    learned = sorted((r.id, r.label, r.text or "") for r in rows.collect())  # `sample` rows
+    place = F.xxhash64("id").alias("place")
+    chosen = ids.orderBy(place, "id", "label").limit(sample)
+    rows = frame.select(frame[f"`{id_col}`"].alias("id"), F.coalesce(frame[f"`{text_col}`"].cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
+    # ids may be repeated in the frame: the rows found are limited again, then their sizes are known before their texts are read
+    rows = settle(rows.select(place, "id", "label", F.xxhash64("text").alias("key"), F.octet_length("text").alias("size"), "text"), "labelled")
+    order = ["place", "id", "label", "key"]
+    taken, left = [], sample_bytes
+    for r in rows.select(*order, "size").orderBy(*order).limit(sample).collect():
+        if r.size <= left:
+            left -= r.size
+            taken.append(tuple(r)[:4])
+    wanted = rows.orderBy(*order).limit(sample).where(F.col("size") <= sample_bytes)
+    kept, learned = Counter(taken), []
+    for r in wanted.select(*order, "text").toLocalIterator():  # `sample` rows
+        if kept[tuple(r)[:4]]:
+            kept[tuple(r)[:4]] -= 1
+            learned.append((r.id, r.label, r.text))
+    discard(rows)
+    learned.sort()
     return SubwordClassifier(**settings).fit([r[2] for r in learned], [r[1] for r in learned])
 
 
@@ -148,7 +170,7 @@ def score(frame: DataFrame, model: SubwordClassifier, id_col: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
         for batch in batches:
-            for part, texts in text_chunks(batch, budget=1 << 20):
+            for part, texts in text_chunks(batch, budget=CHARS):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores(texts, table, bias), pa.float64())], names=[id_col, "score"])
 
     return source.mapInArrow(tidied(run), f"`{id_col}` long, score double")
@@ -156,18 +178,17 @@ def score(frame: DataFrame, model: SubwordClassifier, id_col: str = "doc_id", te
 
 def select(frame: DataFrame, model: SubwordClassifier, least: float, text_col: str = "text") -> DataFrame:
     """The rows that score at least this, with all their columns, in one pass without a shuffle."""
-    shared = frame.sparkSession.sparkContext.broadcast((model.table, model.bias))
-    at = frame.columns.index(text_col)
+    shared, names = frame.sparkSession.sparkContext.broadcast((model.table, model.bias)), frame.columns
+    at = f"c{places(names, text_col)}"
+    plain = frame.toDF(*[f"c{i}" for i in range(len(names))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
         for batch in batches:
-            named = pa.RecordBatch.from_arrays(batch.columns, names=[f"c{i}" for i in range(batch.num_columns)])
-            for part, texts in text_chunks(named, f"c{at}", budget=1 << 20):
-                kept = part.filter(pa.array(scores(texts, table, bias) >= least))
-                yield pa.RecordBatch.from_arrays(kept.columns, schema=batch.schema)
+            for part, texts in text_chunks(batch, at, budget=CHARS):
+                yield part.filter(pa.array(scores(texts, table, bias) >= least))
 
-    return frame.mapInArrow(tidied(run), frame.schema)
+    return plain.mapInArrow(tidied(run), plain.schema).toDF(*names)
 
 
 def held_out(column: F.Column, modulus: int, remainder: int) -> F.Column:
