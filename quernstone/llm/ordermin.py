@@ -8,13 +8,15 @@ it falls with the edit distance and not only with the sets of k-mers.
 
 Defined results: a null text is empty; a text shorter than K is one k-mer; an
 empty text has the empty fingerprint, like only to itself; ids are integers, a
-null id comes before all; rows of one id are in order of their texts; in a table
+null id comes before all; rows of one id are in order of their texts, and are
+dealt by their texts' first characters where the id is hot; in a table
 of one row the row is its own next; an empty table gives an empty result;
 columns other than those named are not read.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -30,6 +32,8 @@ K, SKETCHES, PICK = 6, 32, 2
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 #: Fixed length of a fingerprint, in hexadecimal digits.
 LENGTH = SKETCHES * 8
+#: Characters by which texts of one id are dealt.
+HEAD = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -142,34 +146,61 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows = []
 
 
+def _cuts(source: DataFrame, parts: int) -> tuple[np.ndarray, dict[int, list[str]]]:
+    """Where ids are cut into buckets, and where the texts of an id that fills more than one bucket are; fewer than 4 * parts cuts in all."""
+    shares = [i / parts for i in range(1, parts)] or [0.5]
+    found = np.array(source.agg(F.percentile_approx("id", shares, 10 * parts)).first()[0] or [], np.int64)
+    cuts, times = np.unique(found, return_counts=True)
+    hot = cuts[times > 1].tolist()
+    if not hot:
+        return cuts, {}
+    # one text of each of 16 slots for each bucket that an id fills; these are bounds of buckets only, so any of them gives right results
+    sizes = source.sparkSession.createDataFrame([(h, int(times[cuts == h][0]) + 1) for h in hot], "hot long, n int")
+    heads = source.join(F.broadcast(sizes), F.col("id") == F.col("hot"))
+    slots = heads.groupBy("id", "n", F.pmod(F.xxhash64("id", "text"), F.col("n") * 16).alias("slot")).agg(F.min("head").alias("head"))
+    inside: dict[int, list[str]] = {}
+    for r in slots.groupBy("id", "n").agg(F.array_sort(F.collect_list("head")).alias("heads")).collect():  # at most 32 * parts short texts in all
+        inside[r.id] = sorted({r.heads[len(r.heads) * i // r.n] for i in range(1, r.n)})
+    return np.unique(np.concatenate((cuts, np.array(hot, np.int64), np.array([h + 1 for h in hot if h < 2**63 - 1], np.int64)))), inside
+
+
 def compare_with_next(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """For each row its fingerprint, that of its text with the last quarter taken from the next row, and both likenesses.
 
-    Ids are cut into buckets at quantiles; each bucket also gets the first row of
-    the next one, so that one shuffle of the rows is enough and no task sees
-    more than its buckets.
+    Ids are cut into buckets at quantiles, and the texts of an id that is hot at
+    theirs; each bucket also gets the first row of the next one, so that one
+    shuffle of the rows is enough and no task sees more than its buckets.
     """
     spark, frame = frame.sparkSession, only(frame, id_col, text_col)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = -(2**63)
     source = frame.select(F.coalesce(frame[f"`{id_col}`"].cast("long"), F.lit(least)).alias("id"), F.coalesce(frame[f"`{text_col}`"].cast("string"), F.lit("")).alias("text"))
-    parts = buckets or 4 * tasks
-    cuts = source.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)] or [0.5], 10 * parts)).first()[0] or []
-    cuts = np.unique(np.array(cuts, np.int64))  # fewer than `parts` numbers
+    source = source.withColumn("head", F.substring("text", 1, HEAD))
+    cuts, inside = _cuts(source, buckets or 4 * tasks)
+    extra = np.zeros(len(cuts) + 1, np.int64)  # buckets that the texts of hot ids add before each
+    for hot, texts in inside.items():
+        extra[np.searchsorted(cuts, hot, side="right") + 1 :] += len(texts)
 
     @F.pandas_udf("int")
-    def bucket_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, ids.to_numpy(np.int64), side="right").astype(np.int32))
-
-    heads = sorted(map(tuple, source.select("id").withColumn("bucket", bucket_of("id")).groupBy("bucket").agg(F.min("id")).collect()))  # a row for each bucket
-    before = {head: heads[i - 1][0] for i, (_, head) in enumerate(heads)}
-
-    @F.pandas_udf("array<struct<bucket:int,head:boolean>>")
-    def places_of(ids: pd.Series) -> pd.Series:
-        own = np.searchsorted(cuts, ids.to_numpy(np.int64), side="right").tolist()
-        return pd.Series([[{"bucket": b, "head": False}] + ([{"bucket": before[i], "head": True}] if i in before else []) for i, b in zip(ids.tolist(), own)])
-
-    dealt = source.withColumn("place", F.explode(places_of("id"))).select(F.col("place.bucket").alias("bucket"), F.col("place.head").alias("head"), "id", "text")
+    def bucket_of(ids: pd.Series, heads: pd.Series) -> pd.Series:
+        values = ids.to_numpy(np.int64)
+        out = np.searchsorted(cuts, values, side="right")
+        out = out + extra[out]
+        for hot, texts in inside.items():
+            at = np.flatnonzero(values == hot)
+            out[at] += np.fromiter((bisect.bisect_right(texts, heads.iat[i]) for i in at), np.int64, len(at))
+        return pd.Series(out.astype(np.int32))
+
+    # heads are only read where an id is hot
+    head = F.when(F.col("id").isin(list(inside)), F.col("head")) if inside else F.lit(None).cast("string")
+    placed = source.withColumn("bucket", bucket_of("id", head))
+    firsts = sorted((r.bucket, r.first.id, r.first.head) for r in placed.groupBy("bucket").agg(F.min(F.struct("id", "head")).alias("first")).collect())  # a row for each bucket
+    before = [(i, h, firsts[at - 1][0]) for at, (_, i, h) in enumerate(firsts)]
+    ends = spark.createDataFrame(before, "i long, h string, ends int")
+    # a bucket's first row also ends the bucket before: rows that share its id and head go there too, and all but the first are passed over
+    both = placed.join(F.broadcast(ends), (F.col("id") == F.col("i")) & (F.col("head") == F.col("h")), "left")
+    places = F.array_compact(F.array(F.struct("bucket", F.lit(False).alias("head")), F.when(F.col("ends").isNotNull(), F.struct(F.col("ends").alias("bucket"), F.lit(True).alias("head")))))
+    dealt = both.select("id", "text", F.explode(places).alias("place")).select("place.bucket", "place.head", "id", "text")
     ordered = dealt.repartition(tasks, "bucket").sortWithinPartitions("bucket", "head", "id", "text")
     out = ordered.mapInArrow(tidied(_compared), "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     return out.withColumn("id", F.when(F.col("id") != least, F.col("id"))).withColumnRenamed("id", id_col)
