@@ -4,115 +4,256 @@ An assistant's message calls tools if its text is a JSON object with a list
 `tool_calls` of objects {id, name, arguments} (and perhaps `content`). A message
 of the role `tool` is a result if its text is a JSON object with `tool_call_id`
 (and `content`). Calls and results are hash-joined by conversation and
-identifier. The order is topological: messages by turn, each linked result right
-after the message of its call, in the order of calls, wherever it stood before;
-(anchor, step, turn) is that order as a key, so that no conversation has to be
-gathered in one task. Arguments are checked against the schemas of the tools,
-and every message is serialised as canonical JSON (sorted keys, no spaces).
+identifier. A call needs another one if {"$result": identifier} stands anywhere
+in its arguments. The order is topological: messages by turn, each linked result
+behind the message of its call and behind the results that its call needs, else
+in the order of calls, wherever it stood before. (anchor, step, turn) is that
+order as a key, so that no conversation has to be gathered in one task: the
+anchor is the latest turn among the call and all that it needs, the step is
+LEVEL times the length of the longest chain of needs, plus the call's place.
+Chains are followed in rounds of joins, one for each length. Arguments are checked
+against the schemas of the tools, and every message is serialised as canonical
+JSON: keys in order of their UTF-16 units, no spaces, numbers as ECMAScript
+writes them.
 
 Defined results: of several calls with one identifier in a conversation the
 first by turn and place has it, of several results the first by turn and text is
 linked, the others have the status `duplicate`; results without a call are
-`orphan`; results without identifier, and texts that are no such JSON object,
-are plain messages; a null text is empty, null roles and turns stay null in the
-message, a null turn is ordered first; repeated rows stay repeated; an empty
-table gives an empty result; columns other than those named are not read.
+`orphan`, those of calls in a circle of needs, or behind one, are `cyclic` and
+stand at their own call; needs that no call has are left aside; calls without
+an identifier that is a string are invalid, kept and linked with nothing; results
+without identifier, and texts that are no such JSON object (nested deeper than
+DEPTH, or with numbers that JSON has not, too), are plain messages; half
+surrogates are written as escapes; a null text is empty, null roles and turns stay
+null in the message, a null turn is ordered first; repeated rows stay repeated;
+an empty table gives an empty result; columns other than those named are not read.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import canonical, only, tidied
+from quernstone.llm.common import discard, only, settle, tidied
 
-KINDS = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
+#: Steps of a level, and the deepest nesting that is read.
+LEVEL, DEPTH = 1 << 32, 100
+LEAST = -(2**63)
+TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
+#: The schema keywords that are checked, and those that only describe.
+CHECKED = frozenset(
+    "type enum const required properties patternProperties additionalProperties minProperties maxProperties items prefixItems minItems maxItems uniqueItems "
+    "minimum maximum exclusiveMinimum exclusiveMaximum multipleOf minLength maxLength pattern anyOf allOf oneOf not".split()
+)
+DESCRIBING = frozenset("title description default examples format deprecated readOnly writeOnly $schema $id $comment".split())
 
 
-def valid(value: object, schema: dict) -> bool:
-    """Whether a value meets a schema's type, enum, required, properties, additionalProperties and items."""
-    kind = schema.get("type")
-    if kind == "integer":
-        if isinstance(value, bool) or not (isinstance(value, int) or isinstance(value, float) and value.is_integer()):
-            return False
-    elif kind == "number":
-        if isinstance(value, bool) or not isinstance(value, (int, float)):
-            return False
-    elif kind in KINDS and not isinstance(value, KINDS[kind]):
+def number(x: int | float) -> str:
+    """A number as ECMAScript writes it; whole numbers of any size with all their digits."""
+    if isinstance(x, int) or (x.is_integer() and abs(x) < 1e21):
+        return str(int(x))
+    digits, _, power = repr(x).partition("e")
+    if power:
+        return f"{digits.removesuffix('.0')}e{int(power):+d}" if not -7 < int(power) < 21 else format(x, f".{len(digits.replace('-', '').replace('.', '')) - 1 - int(power)}f")
+    return digits
+
+
+def canonical(value: object) -> str:
+    if isinstance(value, bool) or value is None:
+        return {True: "true", False: "false", None: "null"}[value]
+    if isinstance(value, (int, float)):
+        return number(value)
+    if isinstance(value, str):
+        return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", json.dumps(value, ensure_ascii=False))
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{canonical(k)}:{canonical(value[k])}" for k in sorted(value, key=lambda k: k.encode("utf-16-be", "surrogatepass"))) + "}"
+    return "[" + ",".join(map(canonical, value)) + "]"
+
+
+def is_type(value: object, kind: str) -> bool:
+    if kind in ("integer", "number"):
+        return not isinstance(value, bool) and (isinstance(value, int) or isinstance(value, float) and (kind == "number" or value.is_integer()))
+    return isinstance(value, TYPES[kind])
+
+
+def check_schema(schema: object) -> None:
+    """Raises ValueError for a schema that uses what valid() does not know, rather than let all values pass."""
+    if isinstance(schema, bool):
+        return
+    if not isinstance(schema, dict) or (unknown := set(schema) - CHECKED - DESCRIBING):
+        raise ValueError(f"schema keywords that are not known: {sorted(unknown) if isinstance(schema, dict) else schema!r}")
+    kinds = schema.get("type", [])
+    for kind in [kinds] if isinstance(kinds, str) else kinds:
+        if kind not in TYPES and kind not in ("integer", "number"):
+            raise ValueError(f"no type {kind!r}")
+    for name in ("properties", "patternProperties"):
+        for below in schema.get(name, {}).values():
+            check_schema(below)
+    for name in ("items", "additionalProperties", "not"):
+        check_schema(schema.get(name, True))
+    for name in ("anyOf", "allOf", "oneOf", "prefixItems"):
+        for below in schema.get(name, []):
+            check_schema(below)
+
+
+def valid(value: object, schema: dict | bool) -> bool:
+    """Whether a value meets a schema of the keywords in CHECKED."""
+    if isinstance(schema, bool):
+        return schema
+    get = schema.get
+    if "type" in schema and not any(is_type(value, kind) for kind in ([schema["type"]] if isinstance(schema["type"], str) else schema["type"])):
         return False
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]) or "const" in schema and canonical(value) != canonical(schema["const"]):
         return False
-    if isinstance(value, dict):
-        known = schema.get("properties", {})
-        if any(name not in value for name in schema.get("required", ())):
+    if any(not valid(value, s) for s in get("allOf", ())) or "anyOf" in schema and not any(valid(value, s) for s in schema["anyOf"]):
+        return False
+    if "oneOf" in schema and sum(valid(value, s) for s in schema["oneOf"]) != 1 or "not" in schema and valid(value, schema["not"]):
+        return False
+    if is_type(value, "number"):
+        low, high, step = get("minimum", -math.inf), get("maximum", math.inf), get("multipleOf")
+        return low <= value <= high and get("exclusiveMinimum", -math.inf) < value < get("exclusiveMaximum", math.inf) and (step is None or math.isclose(math.remainder(value, step), 0, abs_tol=1e-9 * step))
+    if isinstance(value, str):
+        return get("minLength", 0) <= len(value) <= get("maxLength", math.inf) and ("pattern" not in schema or re.search(schema["pattern"], value) is not None)
+    if isinstance(value, list):
+        first = get("prefixItems", [])
+        if not get("minItems", 0) <= len(value) <= get("maxItems", math.inf) or get("uniqueItems") and len(set(map(canonical, value))) < len(value):
             return False
-        if schema.get("additionalProperties") is False and any(name not in known for name in value):
+        return all(valid(x, s) for x, s in zip(value, first)) and all(valid(x, get("items", True)) for x in value[len(first) :])
+    if isinstance(value, dict):
+        known, patterns = get("properties", {}), get("patternProperties", {})
+        if any(name not in value for name in get("required", ())) or not get("minProperties", 0) <= len(value) <= get("maxProperties", math.inf):
             return False
-        return all(valid(value[name], known[name]) for name in known if name in value)
-    if isinstance(value, list) and "items" in schema:
-        return all(valid(x, schema["items"]) for x in value)
+        for name, own in value.items():
+            schemas = [known[name]] if name in known else []
+            schemas += [s for p, s in patterns.items() if re.search(p, name)]
+            if not all(valid(own, s) for s in schemas or [get("additionalProperties", True)]):
+                return False
     return True
 
 
+def _refuse(text: str) -> float:
+    raise ValueError(text)
+
+
+def _finite(text: str) -> float:
+    return x if math.isfinite(x := float(text)) else _refuse(text)
+
+
+def _whole(text: str) -> int:
+    return int(text) if len(text) <= 4000 else _refuse(text)
+
+
+def loads(text: str) -> object:
+    """JSON; ValueError for what JSON has not, and for nesting deeper than DEPTH."""
+    try:
+        found = json.loads(text, parse_constant=_refuse, parse_float=_finite, parse_int=_whole)
+    except RecursionError as error:
+        raise ValueError("nested too deeply") from error
+    level, depth = [found], 0
+    while level:
+        depth += 1
+        if depth > DEPTH:
+            raise ValueError("nested too deeply")
+        level = [x for held in level if isinstance(held, (dict, list)) for x in (held.values() if isinstance(held, dict) else held) if isinstance(x, (dict, list))]
+    return found
+
+
 def _object(text: str) -> dict:
     if text.lstrip()[:1] != "{":
         return {}
     try:
-        found = json.loads(text)
-    except (ValueError, RecursionError):
+        found = loads(text)
+    except ValueError:
         return {}
     return found if isinstance(found, dict) else {}
 
 
-def calls_of(role: str | None, text: str) -> list[dict]:
-    if role != "assistant" or '"tool_calls"' not in text:
-        return []
-    found = _object(text).get("tool_calls")
-    return found if isinstance(found, list) and all(isinstance(x, dict) and isinstance(x.get("id"), str) for x in found) else []
+def needs_of(value: object) -> set[str]:
+    """Identifiers in {"$result": identifier} anywhere in a value."""
+    found, left = set(), [value]
+    while left:
+        held = left.pop()
+        if isinstance(held, dict):
+            if len(held) == 1 and isinstance(held.get("$result"), str):
+                found.add(held["$result"])
+            left += held.values()
+        elif isinstance(held, list):
+            left += held
+    return found
 
 
-def result_of(role: str | None, text: str) -> str | None:
-    found = _object(text).get("tool_call_id") if role == "tool" else None
-    return found if isinstance(found, str) else None
+def clean(text: str) -> str:
+    """Without half surrogates, which no column can hold."""
+    return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
 
 
-def arguments_of(call: dict) -> object:
-    """A call's arguments; a string of JSON is read."""
-    given = call.get("arguments", {})
-    if isinstance(given, str):
-        try:
-            return json.loads(given)
-        except (ValueError, RecursionError):
-            return given
-    return given
+def message(role: str | None, text: str, schemas: dict[str, dict]) -> tuple[str, list[dict], int, str | None]:
+    """Canonical JSON; its calls (id, step, needs; no id: linked with nothing); the number of invalid ones; the identifier of a result."""
+    if role == "assistant" and '"tool_calls"' in text:
+        found = _object(text)
+        calls = found.get("tool_calls")
+        if isinstance(calls, list) and calls and all(isinstance(call, dict) for call in calls):
+            made, links, wrong = [], [], 0
+            for step, call in enumerate(calls):
+                name, arguments, key = call.get("name"), call.get("arguments", {}), call.get("id")
+                if isinstance(arguments, str):
+                    try:
+                        arguments = loads(arguments)
+                    except ValueError:
+                        pass
+                good = isinstance(key, str) and isinstance(name, str) and name in schemas and valid(arguments, schemas[name])
+                wrong += not good
+                made.append({"arguments": arguments, "id": key, "name": name, "valid": good})
+                links.append({"id": clean(key) if isinstance(key, str) else None, "step": step + 1, "needs": sorted(map(clean, needs_of(arguments)))})
+            return canonical({"content": found.get("content"), "role": role, "tool_calls": made}), links, wrong, None
+    if role == "tool":
+        found = _object(text)
+        if isinstance(found.get("tool_call_id"), str):
+            return canonical({"content": found.get("content"), "role": role, "tool_call_id": found["tool_call_id"]}), [], 0, clean(found["tool_call_id"])
+    return canonical({"content": text, "role": role}), [], 0, None
 
 
-def message(role: str | None, text: str, schemas: dict[str, dict]) -> tuple[str, int, int]:
-    """Canonical JSON, number of calls, number of calls that are invalid."""
-    calls, result = calls_of(role, text), result_of(role, text)
-    if calls:
-        made, wrong = [], 0
-        for call in calls:
-            name, arguments = call.get("name"), arguments_of(call)
-            good = isinstance(name, str) and name in schemas and valid(arguments, schemas[name])
-            wrong += not good
-            made.append({"arguments": arguments, "id": call["id"], "name": name, "valid": good})
-        return canonical({"content": _object(text).get("content"), "role": role, "tool_calls": made}), len(calls), wrong
-    if result is not None:
-        return canonical({"content": _object(text).get("content"), "role": role, "tool_call_id": result}), 0, 0
-    return canonical({"content": text, "role": role}), 0, 0
+CALL = pa.struct([("id", pa.string()), ("step", pa.int64()), ("needs", pa.list_(pa.string()))])
 
 
-LINK = "array<struct<id:string,step:int>>"
+def _order(calls: DataFrame) -> DataFrame:
+    """conv, id, own, anchor, step of each call; anchor is null in a circle and behind one. calls: conv, turn (null: LEAST), call."""
+    first = settle(calls.groupBy("conv", F.col("call.id").alias("id")).agg(F.min(F.struct("turn", F.col("call.step").alias("step"), F.col("call.needs").alias("needs"))).alias("first")).select("conv", "id", "first.*"), "calls")
+    known = first.select(F.col("conv").alias("c"), F.col("id").alias("need"))
+    edges = first.select("conv", "id", F.explode("needs").alias("need")).join(known.withColumnRenamed("need", "n"), F.col("conv").eqNullSafe(F.col("c")) & (F.col("need") == F.col("n"))).select("conv", "id", "need")
+    edges = settle(edges, "needs")
+    if edges.isEmpty():
+        discard(edges)
+        return first.select("conv", "id", F.col("turn").alias("own"), F.col("turn").alias("anchor"), "step")
+    counts = settle(edges.groupBy(F.col("conv").alias("c"), F.col("id").alias("i")).agg(F.count(F.lit(1)).alias("n")), "counts")
+    same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("id") == F.col("i"))
+    done = [settle(first.join(counts, same, "left_anti").select("conv", "id", F.col("turn").alias("anchor"), F.lit(0).cast("long").alias("level")), "ordered")]
+    while True:  # a round for each length of chain
+        before = done[0]
+        for more in done[1:]:
+            before = before.unionByName(more)
+        met = edges.join(before.select(F.col("conv").alias("c3"), F.col("id").alias("i3"), "anchor", "level"), F.col("conv").eqNullSafe(F.col("c3")) & (F.col("need") == F.col("i3")))
+        met = met.groupBy(F.col("conv").alias("c"), F.col("id").alias("i")).agg(F.count(F.lit(1)).alias("m"), F.max("anchor").alias("latest"), F.max("level").alias("level")).where(F.col("level") == len(done) - 1)
+        full = met.join(counts.withColumnsRenamed({"c": "c4", "i": "i4"}), F.col("c").eqNullSafe(F.col("c4")) & (F.col("i") == F.col("i4")) & (F.col("m") == F.col("n"))).select("c", "i", "latest", "level")
+        new = settle(first.join(full, same).select("conv", "id", F.greatest("turn", "latest").alias("anchor"), (F.col("level") + 1).alias("level")), "ordered")
+        if new.isEmpty():
+            break
+        done.append(new)
+    placed = before.select(F.col("conv").alias("c"), F.col("id").alias("i"), "anchor", "level")
+    return first.join(placed, same, "left").select("conv", "id", F.col("turn").alias("own"), "anchor", (F.col("step") + F.coalesce("level", F.lit(0)) * LEVEL).alias("step"))
 
 
 def format_chats(frame: DataFrame, schemas: dict[str, dict] | None = None, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """A row for each message: conversation, turn, role, anchor and step (its place), status, n_calls, n_invalid, message."""
     schemas, frame = schemas or {}, only(frame, conv_col, turn_col, role_col, text_col)
+    for schema in schemas.values():
+        check_schema(schema)
     source = frame.select(
         frame[f"`{conv_col}`"].alias("conv"), frame[f"`{turn_col}`"].cast("long").alias("turn"), frame[f"`{role_col}`"].cast("string").alias("role"), F.coalesce(frame[f"`{text_col}`"].cast("string"), F.lit("")).alias("text")
     )
@@ -120,29 +261,28 @@ def format_chats(frame: DataFrame, schemas: dict[str, dict] | None = None, conv_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            roles, texts = batch.column("role").to_pylist(), batch.column("text").to_pylist()
-            made = [message(r, t, schemas) for r, t in zip(roles, texts)]
-            calls = [[{"id": c["id"], "step": i + 1} for i, c in enumerate(calls_of(r, t))] for r, t in zip(roles, texts)]
-            arrays = [batch.column("conv"), batch.column("turn"), batch.column("role")]
-            arrays += [pa.array([x[0] for x in made], pa.string()), pa.array([x[1] for x in made], pa.int32()), pa.array([x[2] for x in made], pa.int32())]
-            arrays += [pa.array(calls, pa.list_(pa.struct([("id", pa.string()), ("step", pa.int32())]))), pa.array(list(map(result_of, roles, texts)), pa.string())]
+            made = [message(r, t, schemas) for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist())]
+            arrays = [batch.column("conv"), batch.column("turn"), batch.column("role"), pa.array([x[0] for x in made], pa.string()), pa.array([len(x[1]) for x in made], pa.int32()), pa.array([x[2] for x in made], pa.int32())]
+            arrays += [pa.array([x[1] for x in made], pa.list_(CALL)), pa.array([x[3] for x in made], pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["conv", "turn", "role", "message", "n_calls", "n_invalid", "calls", "result"])
 
-    schema = f"conv {conv}, turn long, role string, message string, n_calls int, n_invalid int, calls {LINK}, result string"
+    schema = f"conv {conv}, turn long, role string, message string, n_calls int, n_invalid int, calls array<struct<id:string,step:long,needs:array<string>>>, result string"
     is_tool = F.col("role").eqNullSafe("tool")
     others, tools = source.where(~is_tool).mapInArrow(tidied(run), schema), source.where(is_tool).mapInArrow(tidied(run), schema)
     # only texts that may call tools are read for their identifiers
-    calls = source.where((F.col("role") == "assistant") & F.col("text").contains('"tool_calls"')).mapInArrow(tidied(run), schema).select("conv", "turn", F.explode("calls").alias("call"))
-    calls = calls.groupBy("conv", F.col("call.id").alias("result")).agg(F.min(F.struct(F.coalesce("turn", F.lit(-(2**63))).alias("at"), F.col("turn").alias("anchor"), F.col("call.step").alias("step"))).alias("call"))
+    turn = F.coalesce("turn", F.lit(LEAST))
+    calls = source.where((F.col("role") == "assistant") & F.col("text").contains('"tool_calls"')).mapInArrow(tidied(run), schema).select("conv", turn.alias("turn"), F.explode("calls").alias("call")).where("call.id IS NOT NULL")
     results, plain = tools.where("result IS NOT NULL"), others.unionByName(tools.where("result IS NULL"))
-    linked = results.join(calls.withColumnRenamed("conv", "c").withColumnRenamed("result", "r"), F.col("conv").eqNullSafe(F.col("c")) & (F.col("result") == F.col("r")), "left")
-    # one identifier's results: few by design, and hot ones are of one key that no other operation gathers
-    first = results.groupBy("conv", "result").agg(F.min(F.struct(F.coalesce("turn", F.lit(-(2**63))).alias("at"), F.col("message").alias("message"))).alias("first"))
-    linked = linked.join(first.withColumnRenamed("conv", "c2").withColumnRenamed("result", "r2"), F.col("conv").eqNullSafe(F.col("c2")) & (F.col("result") == F.col("r2")))
-    is_first = (F.col("first.at") == F.coalesce("turn", F.lit(-(2**63)))) & (F.col("first.message") == F.col("message"))
-    status = F.when(F.col("call").isNull(), "orphan").when(~is_first, "duplicate").otherwise("result")
-    out = linked.withColumn("status", status).withColumn("anchor", F.when(F.col("status") == "result", F.col("call.anchor")).otherwise(F.col("turn"))).withColumn("step", F.when(F.col("status") == "result", F.col("call.step")).otherwise(0))
-    plain = plain.withColumn("status", F.when(F.col("n_calls") > 0, "call").otherwise("message")).withColumn("anchor", F.col("turn")).withColumn("step", F.lit(0))
+    # one row for each identifier: its call, and the first of its results; then results are joined once, by a key that Spark splits where it is hot
+    first = results.groupBy("conv", "result").agg(F.min(F.struct(turn.alias("at"), F.col("message").alias("message"))).alias("first"))
+    keys = first.join(_order(calls).withColumnRenamed("conv", "c"), F.col("conv").eqNullSafe(F.col("c")) & (F.col("result") == F.col("id")), "left").select(F.col("conv").alias("c"), F.col("result").alias("r"), "first", "id", "own", "anchor", "step")
+    linked = results.join(keys, F.col("conv").eqNullSafe(F.col("c")) & (F.col("result") == F.col("r")))
+    is_first = (F.col("first.at") == turn) & (F.col("first.message") == F.col("message"))
+    status = F.when(F.col("id").isNull(), "orphan").when(~is_first, "duplicate").when(F.col("anchor").isNull(), "cyclic").otherwise("result")
+    place = F.nullif(F.coalesce("anchor", "own"), F.lit(LEAST))
+    placed = F.col("status").isin("result", "cyclic")
+    out = linked.withColumn("status", status).withColumn("anchor", F.when(placed, place).otherwise(F.col("turn"))).withColumn("step", F.when(placed, F.col("step")).otherwise(F.lit(0).cast("long")))
+    plain = plain.withColumn("status", F.when(F.col("n_calls") > 0, "call").otherwise("message")).withColumn("anchor", F.col("turn")).withColumn("step", F.lit(0).cast("long"))
     names = ["conv", "turn", "role", "anchor", "step", "status", "n_calls", "n_invalid", "message"]
     return plain.select(names).unionByName(out.select(names)).withColumnsRenamed({"conv": conv_col, "turn": turn_col, "role": role_col})
 

@@ -1,6 +1,9 @@
-"""Chat formatting against a plain version."""
+"""Chat formatting: links, order and JSON by hand and against a plain version; schemas; texts that are hard to read."""
 
 import json
+import random
+
+import pytest
 
 from quernstone.llm import chat
 
@@ -56,3 +59,102 @@ def test_schemas():
     assert chat.valid({"a": 1, "b": [1, 2.5], "c": 0}, schema)
     assert not chat.valid({"a": 3}, schema) and not chat.valid({"b": [True]}, schema) and not chat.valid([], schema)
     assert chat.valid(2.0, {"type": "integer"}) and not chat.valid(True, {"type": "integer"}) and chat.valid(None, {"type": "null"})
+
+
+def plain(rows):
+    """Anchor, step and status of each message, one conversation at a time."""
+    turn_of = lambda t: chat.LEAST if t is None else t
+    out = []
+    for conv in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == conv]
+        calls = {}
+        for _, turn, role, text in sorted(own, key=lambda r: turn_of(r[1])):
+            for i, c in enumerate(json.loads(text)["tool_calls"] if role == "assistant" and "tool_calls" in text else []):
+                if isinstance(c["id"], str) and c["id"] not in calls:
+                    needs = {x["$result"] for x in c["arguments"].get("from", [])}
+                    calls[c["id"]] = (turn_of(turn), i + 1, needs)
+        needs = {k: {x for x in v[2] if x in calls} for k, v in calls.items()}
+        order = {}
+        while True:
+            ready = {k: (max([calls[k][0], *[order[x][0] for x in needs[k]]]), 1 + max([order[x][1] for x in needs[k]], default=-1)) for k in calls if k not in order and needs[k] <= set(order)}
+            if not ready:
+                break
+            order |= ready
+        results = {}
+        for _, turn, role, text in own:
+            if role == "tool":
+                results.setdefault(json.loads(text)["tool_call_id"], []).append((turn_of(turn), chat.message(role, text, {})[0]))
+        for _, turn, role, text in own:
+            made = chat.message(role, text, {})[0]
+            status, anchor, step = "call" if role == "assistant" and "tool_calls" in text else "message", turn, 0
+            if role == "tool":
+                key = json.loads(text)["tool_call_id"]
+                if key not in calls:
+                    status = "orphan"
+                elif (turn_of(turn), made) != min(results[key]):
+                    status = "duplicate"
+                else:
+                    status = "result" if key in order else "cyclic"
+                    anchor, level = order.get(key, (calls[key][0], 0))
+                    anchor, step = None if anchor == chat.LEAST else anchor, level * chat.LEVEL + calls[key][1]
+            out.append((conv, turn, role, anchor, step, status, made))
+    return sorted(out, key=str)
+
+
+def test_against_a_plain_version(spark):
+    draw = random.Random(7)
+    rows = []
+    for conv in [*range(12), None]:
+        for turn in [*range(14), None]:
+            role = draw.choice(["user", "assistant", "assistant", "tool", "tool"])
+            if role == "assistant":
+                made = [{"id": draw.choice([*"abcdefgh", 5]), "name": "t", "arguments": {"from": [{"$result": x} for x in draw.choices("abcdefghz", k=draw.choice([0, 0, 1, 2]))]}} for _ in range(draw.randrange(1, 4))]
+                rows.append((conv, turn, role, json.dumps({"content": turn, "tool_calls": made})))
+            else:
+                rows.append((conv, turn, role, result(draw.choice("abcdefgh"), draw.randrange(3)) if role == "tool" else "hello"))
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = [(r.conv_id, r.turn, r.role, r.anchor, r.step, r.status, r.message) for r in chat.format_chats(frame).collect()]
+    want = plain(rows)
+    assert sorted(got, key=str) == want
+    assert {"result", "cyclic", "orphan", "duplicate"} <= {r[5] for r in want} and any(r[4] >= chat.LEVEL for r in want)
+
+
+def test_texts_that_are_hard_to_read(spark):
+    texts = [
+        '{"tool_call_id":"a","content":"\\ud800"}', '{"tool_call_id":"\\udfff","content":1}', '{"tool_call_id":"a","content":NaN}', '{"tool_call_id":"a","content":1e999}', '{"tool_call_id":"a","content":-Infinity}',
+        '{"tool_call_id":"a","content":' + "[" * 3000 + "]" * 3000 + "}", '{"tool_call_id":"a","content":' + "9" * 5000 + "}", '{"tool_call_id":"a","content":{"\ufb33":1,"\U0001f600":2,"x":1.0}}', "{", "", None,
+    ]
+    frame = spark.createDataFrame([(1, i, "tool", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    got = {r.turn: (r.status, r.message) for r in chat.format_chats(frame).collect()}
+    assert len(got) == len(texts)
+    assert got[0] == ("orphan", '{"content":"\\ud800","role":"tool","tool_call_id":"a"}') and json.loads(got[0][1])["content"] == "\ud800"
+    assert got[1][0] == "orphan" and [got[i][0] for i in (2, 3, 4, 5, 6, 8, 9, 10)] == ["message"] * 8
+    assert got[7][1] == '{"content":{"x":1,"\U0001f600":2,"\ufb33":1},"role":"tool","tool_call_id":"a"}'  # by UTF-16 units
+    mixed = json.dumps({"tool_calls": [{"id": 5, "name": "search", "arguments": {"query": "x"}}, {"id": "a", "name": "search", "arguments": {"query": "x"}}]})
+    made, calls, wrong, _ = chat.message("assistant", mixed, SCHEMAS)
+    assert [c["id"] for c in calls] == [None, "a"] and wrong == 1 and [c["valid"] for c in json.loads(made)["tool_calls"]] == [False, True]
+
+
+def test_numbers_are_written_as_in_ecmascript():
+    for x, want in ((1.0, "1"), (1e21, "1e+21"), (1e-7, "1e-7"), (1.5e-6, "0.0000015"), (123e18, "123000000000000000000"), (-0.0, "0"), (5e-324, "5e-324"), (2**70, str(2**70)), (0.1, "0.1")):
+        assert chat.number(x) == want
+
+
+def test_all_keywords_of_schemas():
+    good = [
+        (3, {"type": ["integer", "null"], "minimum": 1, "maximum": 3, "multipleOf": 1.5}), ("abc", {"minLength": 3, "maxLength": 3, "pattern": "^a"}), ([1, 2], {"minItems": 2, "maxItems": 2, "uniqueItems": True, "prefixItems": [{"const": 1}], "items": {"const": 2}}),
+        ({"x1": 1}, {"patternProperties": {"^x": {"type": "integer"}}, "additionalProperties": False, "minProperties": 1}), (1, {"anyOf": [{"type": "string"}, {"enum": [1.0]}], "not": {"const": 2}, "allOf": [True], "oneOf": [{"const": 1}, {"const": 2}]}), (1, True),
+    ]
+    bad = [
+        (4, {"maximum": 3}), (0, {"exclusiveMinimum": 0}), (1, {"multipleOf": 2}), ("abcd", {"maxLength": 3}), ("b", {"pattern": "^a"}), ([1, 1.0], {"uniqueItems": True}), ([1], {"minItems": 2}), ({"y": 1}, {"patternProperties": {"^x": True}, "additionalProperties": False}),
+        (True, {"enum": [1]}), (1, {"oneOf": [True, {"const": 1}]}), (1, {"not": {"type": "number"}}), ({}, {"minProperties": 1}), ({"a": "x"}, {"additionalProperties": {"type": "number"}}), (1, False), (1, {"type": ["string", "null"]}),
+    ]
+    for value, schema in good:
+        chat.check_schema(schema)
+        assert chat.valid(value, schema), (value, schema)
+    for value, schema in bad:
+        chat.check_schema(schema)
+        assert not chat.valid(value, schema), (value, schema)
+    for unknown in ({"dependentRequired": {}}, {"type": "text"}, {"properties": {"a": {"$ref": "#"}}}, {"anyOf": [3]}):
+        with pytest.raises(ValueError):
+            chat.check_schema(unknown)
