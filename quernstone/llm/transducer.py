@@ -14,11 +14,18 @@ Two machines, both deterministic:
   state therefore holds, for every start from which a vocabulary entry may
   still run on, the place in the vocabulary trie, the token before that start
   and the count relative to now. States are compiled when first reached; full
-  tables start afresh with the states in use, which changes no count.
+  tables start afresh with the states in use, which changes no count. Words
+  advance together, a byte at a time. Long words are cut into chunks that advance
+  together too, each from the state that a short run-up finds; each chunk then
+  maps one entry state to an exit state and a count. A prefix scan over the
+  chunks says how far exits and entries agree; where they do not, the chunk is
+  mapped again from the state that it is really entered in.
 
 Defined results: a null text is the empty text, of 0 tokens; special tokens'
 literals count one each, as the library does by default; repeated rows are
-counted one by one; columns other than those named are not read.
+counted one by one; columns other than those named are not read. A vocabulary
+whose normaliser, pre-tokenizer or model settings are not those written here is
+refused.
 """
 
 from __future__ import annotations
@@ -43,6 +50,11 @@ GAP, WORD, DIGIT, OTHERS, LONE, RV, EL, SHORTENED = range(8)
 #: Most states and most table cells at a time, and the words that advance together; BLOCK states and as many new ones must fit.
 STATES, CELLS, BLOCK = 1 << 17, 1 << 24, 1 << 15
 CHUNK = 128
+#: Bytes of a word from which on it is cut, of its chunks, and of the run-up before each.
+LONG, CUT, RUN_UP = 2048, 512, 64
+#: The parts of the vocabulary file that the machines are written for.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: Lower cases that the library knows and Python's Unicode version doesn't yet.
 NEWER = (("\ua7cb", "\u0264"), ("\ua7dc", "\u019b"))
 
@@ -117,12 +129,17 @@ class Splitter:
         return cut[keep], ends[keep]
 
 
+#: The state before a word.
+INITIAL = ((0, -1, 0),)
+
+
 class WordTransducer:
     """Counts of tokens in words, for a byte-level BPE vocabulary whose words' last parts carry a suffix."""
 
     def __init__(self, data: bytes):
         spec = json.loads(data)
         model = spec["model"]
+        check_model(model)
         vocab, suffix, alphabet = model["vocab"], model["end_of_word_suffix"] or "", byte_alphabet()
         self.added = [x["content"] for x in spec["added_tokens"]]
         self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
@@ -157,7 +174,7 @@ class WordTransducer:
                 self.token[node] = i
         self.restart()
 
-    def restart(self, keep: list[tuple] = [((0, -1, 0),)], width: int = 64) -> None:
+    def restart(self, keep: list[tuple] = [INITIAL], width: int = 64) -> None:
         """Empty tables that hold the given states; the first of them is the state before a word."""
         self.follows: dict[tuple[int, int], bool] = {}
         self.held, self.number = list(keep), {state: i for i, state in enumerate(keep)}
@@ -233,18 +250,79 @@ class WordTransducer:
         """Tokens of each word data[start:end]."""
         self.columns(data)
         cells = self.column[data]
-        blocks = [self.block(cells, starts[i : i + BLOCK], ends[i : i + BLOCK]) for i in range(0, len(starts), BLOCK)]
-        return np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
+        out = np.zeros(len(starts), np.int64)
+        short = np.flatnonzero(ends - starts <= LONG)
+        for i in range(0, len(short), BLOCK):
+            part = short[i : i + BLOCK]
+            out[part] = self.block(cells, starts[part], ends[part])
+        for i in np.flatnonzero(ends - starts > LONG).tolist():
+            out[i] = self.long(cells, int(starts[i]), int(ends[i]))
+        return out
 
-    def block(self, cells: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """All words advance one byte at a time, the longer ones first in order, so that those which go on are a prefix."""
+    def long(self, cells: np.ndarray, start: int, end: int) -> int:
+        """Tokens of one long word, from its chunks' maps."""
+        begins = np.arange(start, end - 1, CUT)
+        stops = np.append(begins[1:], end)
+        n = len(begins)
+        entries = np.empty(n, object)
+        entries[0] = INITIAL
+        if n > 1:
+            entries[1:] = self.through(cells, begins[1:] - RUN_UP, begins[1:], [INITIAL] * (n - 1))[0]
+        exits, counts, todo = np.empty(n, object), np.zeros(n, np.int64), np.arange(n)
+        while len(todo):
+            inner = todo[todo < n - 1]
+            if len(inner):
+                exits[inner], counts[inner] = self.through(cells, begins[inner], stops[inner], list(entries[inner]))
+            if todo[-1] == n - 1:
+                counts[-1] = self.block(cells, begins[-1:], stops[-1:], [entries[-1]])[0]
+            wrong = np.fromiter((exits[i - 1] != entries[i] for i in range(1, n)), bool, n - 1)
+            todo = np.flatnonzero(wrong) + 1
+            entries[todo] = exits[todo - 1]
+        return int(counts.sum())
+
+    def through(self, cells: np.ndarray, starts: np.ndarray, ends: np.ndarray, entries: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        """The states after stretches data[start:end] that no word ends in, entered in these states, and the counts' changes."""
+        exits, counts = np.empty(len(starts), object), np.zeros(len(starts), np.int64)
+        for i in range(0, len(starts), BLOCK):
+            part = slice(i, i + BLOCK)
+            counts[part] = self.block(cells, starts[part], ends[part], entries[part], exits[part])
+        return exits, counts
+
+    def numbers(self, states: list[tuple]) -> np.ndarray:
+        """The numbers of states; in full tables all others are given up."""
+        fresh = [s for s in dict.fromkeys(states) if s not in self.number]
+        if len(self.held) + len(fresh) > self.room:
+            column_of, bytes_ = self.column, self.bytes
+            self.restart(list(dict.fromkeys([INITIAL, *states])), self.width)
+            self.column, self.bytes = column_of, bytes_
+            fresh = []
+        for s in fresh:
+            self.number[s] = len(self.held)
+            self.held.append(s)
+        return np.fromiter(map(self.number.__getitem__, states), np.int64, len(states))
+
+    def block(self, cells: np.ndarray, starts: np.ndarray, ends: np.ndarray, entries: list[tuple] | None = None, exits: np.ndarray | None = None) -> np.ndarray:
+        """All words advance one byte at a time, the longer ones first in order, so that those which go on are a prefix.
+
+        entries: the states to begin in. exits: to be filled with the states after the last bytes, which then end no word.
+        """
         lengths = ends - starts
         order = np.argsort(-lengths, kind="stable")
         starts, lengths = starts[order], -lengths[order]
         state, count = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        if entries is not None:
+            state = self.numbers([entries[i] for i in order.tolist()])
+        if exits is not None:
+            lengths = lengths - 1  # one more step, in which no word ends
         now, k = len(order), 0
         while now:
             more = int(np.searchsorted(lengths, -(k + 1), side="left"))
+            if exits is not None and more < now:
+                for i in range(more, now):
+                    exits[order[i]] = self.held[state[i]]
+                now, state = more, state[:more]
+                if not now:
+                    break
             column = cells[starts[:now] + k]
             flat = state * self.width + column
             ending, going = flat[more:], flat[:more]
@@ -266,12 +344,33 @@ class WordTransducer:
         return out
 
 
+def check_model(model: dict) -> None:
+    """Refuses settings of a BPE model that change what it makes and are not handled."""
+    unlike = {name: model.get(name) for name in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges") if model.get(name)}
+    if model.get("type") != "BPE" or unlike:
+        raise ValueError(f"not the BPE model that is handled: {model.get('type')} {unlike}")
+
+
+def check_added(added: list[dict]) -> None:
+    """Refuses added tokens that take blanks along, stand for whole words only, or are looked for in normalised text."""
+    for token in added:
+        if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
+            raise ValueError(f"not an added token that is handled: {token}")
+
+
 class TokenCounter:
     """The number of tokens of texts. Normalisation is NFC, then white space to one space, then lower case."""
 
     def __init__(self, data: bytes):
         import regex
 
+        spec = json.loads(data)
+        split, after = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}, {}])[:2]
+        if spec["normalizer"] != NORMALIZER or split.get("pattern") != {"Regex": PATTERN} or split.get("behavior") != "Removed" or not split.get("invert"):
+            raise ValueError("not the normaliser and split that are handled")
+        if after.get("type") != "ByteLevel" or after["add_prefix_space"] or after["use_regex"] or len(spec["pre_tokenizer"]["pretokenizers"]) != 2:
+            raise ValueError("not the byte level that is handled")
+        check_added(spec["added_tokens"])
         self.words, self.splitter = WordTransducer(data), Splitter()
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.words.added, key=len, reverse=True)))) if self.words.added else None
 
