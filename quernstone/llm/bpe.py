@@ -9,7 +9,8 @@ SHORT bytes go through a heap, whose work grows as n log n.
 Defined results: a null text is the empty text; an empty text has no ids and
 decodes to the empty text; the literal of a special token becomes its id, as
 the library does by default; rows, repeated ones too, are encoded one by one;
-columns other than those named are not read.
+columns other than those named are not read. A vocabulary with a normaliser,
+another pre-tokenizer or other model settings is refused.
 """
 
 from __future__ import annotations
@@ -30,8 +31,11 @@ from quernstone.llm.common import only, read_vocabulary, text_chunks, tidied
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SHORT = 48
 NONE = np.int32(2**31 - 1)
-#: Words a worker remembers before it starts afresh.
-REMEMBERED = 150_000
+#: Words a worker remembers before it starts afresh, and their bytes; a longer word is encoded each time it comes.
+REMEMBERED, REMEMBERED_BYTES = 150_000, 8 << 20
+LONGEST = 4096
+#: Fixed value: the pre-tokenizer that SPLIT is written for.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -48,6 +52,11 @@ class RankArrayCodec:
         import regex
 
         spec = json.loads(data)
+        model, split = spec["model"], spec["pre_tokenizer"] or {}
+        unlike = [name for name in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(name)]
+        unlike += [x["content"] for x in spec["added_tokens"] if x["single_word"] or x["lstrip"] or x["rstrip"] or x["normalized"]]
+        if model.get("type") != "BPE" or spec["normalizer"] is not None or any(split.get(name) != value for name, value in BYTE_LEVEL.items()) or unlike:
+            raise ValueError(f"not the byte-level BPE that is handled: {model.get('type')}, {spec['normalizer']}, {split}, {unlike}")
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         alphabet = byte_alphabet()
         added = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -76,6 +85,7 @@ class RankArrayCodec:
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.added = {token: (i,) for token, i in added.items()}
         self.known: dict[str, tuple[int, ...]] = dict(self.added)
+        self.held = 0
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids, NONE for pairs that don't merge."""
@@ -161,12 +171,17 @@ class RankArrayCodec:
     def encode_all(self, texts: Iterable[str]) -> list[list[int]]:
         split = [self.words(text) for text in texts]
         fresh = set().union(*split)
-        if len(self.known) + len(fresh) > REMEMBERED + len(self.added):
-            self.known = dict(self.added)
+        if len(self.known) + len(fresh) > REMEMBERED + len(self.added) or self.held > REMEMBERED_BYTES:
+            self.known, self.held = dict(self.added), 0
         fresh.difference_update(self.known)
         self.learn(list(fresh))
+        self.held += sum(map(len, fresh))
         find = self.known.__getitem__
-        return [list(chain.from_iterable(map(find, words))) for words in split]
+        out = [list(chain.from_iterable(map(find, words))) for words in split]
+        for word in [w for w in fresh if len(w) > LONGEST]:
+            del self.known[word]
+            self.held -= len(word)
+        return out
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
