@@ -1,5 +1,6 @@
 """BPE and token counts against the public library, and their defined edge cases."""
 
+import json
 import random
 
 import pytest
@@ -81,3 +82,36 @@ def test_edge_rows(spark):
     counted = transducer.count_tokens(frame, tokenizer_path("word_bpe_49k.json")).collect()
     assert len(counted) == 5 and {(r.doc_id, r.n_bytes, r.n_tokens) for r in counted} >= {(1, 0, 0), (2, 0, 0), (None, 3, 2)}
     assert bpe.encode(frame.limit(0), tokenizer_path("byte_bpe_50k.json")).count() == 0
+
+
+def test_long_words_are_counted_by_chunks(monkeypatch):
+    path = tokenizer_path("word_bpe_49k.json")
+    counter, library = transducer.TokenCounter(open(path, "rb").read()), Tokenizer.from_file(path)
+    draw = random.Random(8)
+    sample = ["a" * 5000, "abc" * 1500, "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6000)), "é" * 2000 + "ü" * 700, "x" * 2049, "the" * 700 + " the " + "ing" * 900, "!" * 3000]
+    want = [len(x.ids) for x in library.encode_batch(sample, add_special_tokens=False)]
+    assert counter.count_all(sample).tolist() == want
+    monkeypatch.setattr(transducer, "LONG", 10)
+    monkeypatch.setattr(transducer, "CUT", 7)
+    monkeypatch.setattr(transducer, "RUN_UP", 0)
+    assert counter.count_all(sample + texts(200)).tolist() == want + [len(x.ids) for x in library.encode_batch(texts(200), add_special_tokens=False)]
+
+
+def test_other_vocabularies_are_refused():
+    for name, make in (("byte_bpe_50k.json", bpe.RankArrayCodec), ("word_bpe_49k.json", transducer.TokenCounter)):
+        spec = json.load(open(tokenizer_path(name)))
+        changes = [{"normalizer": {"type": "NFKC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"model": {**spec["model"], "byte_fallback": True}}, {"model": {**spec["model"], "type": "WordPiece"}}, {"added_tokens": [{**spec["added_tokens"][0], "lstrip": True}]}]
+        for change in changes:
+            with pytest.raises(ValueError):
+                make(json.dumps({**spec, **change}).encode())
+
+
+def test_remembered_words_are_bounded(byte_level, monkeypatch):
+    codec, library = byte_level
+    long = "ab" * 5000
+    assert codec.encode_all([long, "word " + long]) == [x.ids for x in library.encode_batch([long, "word " + long], add_special_tokens=False)]
+    assert not any(len(w) > bpe.LONGEST for w in codec.known)
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 100)
+    for i in range(60):
+        assert codec.encode_all([f"some{i} words{i}"])[0] == library.encode(f"some{i} words{i}", add_special_tokens=False).ids
+        assert codec.held < 200 or i == 0
