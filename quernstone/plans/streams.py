@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from quernstone.plans.catalog import query
 from quernstone.plans.windows import SLIDING
-from quernstone.sources.tables import table
 from quernstone.streaming import windows
 
 
@@ -47,9 +46,3 @@ def stateful_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's last row is the one with most events."""
     rows = windows.drained(windows.running_totals(_events(spark, sf_dir).select("user_id", "value")), "update")
     return rows.groupBy("user_id").agg(F.max("n").alias("n"), F.max_by("cents", "n").alias("cents"))
-
-
-@query("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL")
-def pattern_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch counts that the streaming tests compare with."""
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
