@@ -57,6 +57,8 @@ from quernstone.llm.components import connected
 K, RUN = 64, 3
 #: Members from which on a list is worked on in blocks; rows and values of a block.
 LONG, BLOCK_ROWS, BLOCK_VALUES = 128, 1024, 1 << 20
+#: Places that the pairs of one class are spread over.
+SALTS = 16
 #: A pair is dropped unread if the union sketch's estimate is this far below the threshold: over seven standard deviations at k = 64.
 MARGIN = 0.35
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
@@ -335,12 +337,15 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     values = sets.select("id", "values")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(values.withColumnsRenamed({"id": "b", "values": "right"}), "b").join(values.withColumnsRenamed({"id": "a", "values": "left"}), "a")
+        # a hub may have any number of pairs: they go to SALTS places by the other member, and the hub's set to each of these
+        salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+        lefts = salted.select("a", "salt").distinct().join(values.withColumnsRenamed({"id": "a", "values": "left"}), "a")
+        both = salted.join(values.withColumnsRenamed({"id": "b", "values": "right"}), "b").join(lefts, ["a", "salt"])
         return both.select("a", "b", "left", "right").mapInArrow(tidied(_confirmed(percent)), "a long, b long")
 
     hubs = postings.groupBy("value").agg(F.min(F.struct("excess", "id", "n", "at")).alias("hub"), F.count(F.lit(1)).alias("members")).where("members > 1")
     met = postings.join(hubs.select("value", F.col("hub.id").alias("a"), F.col("hub.n").alias("m"), F.col("hub.at").alias("at_m")), "value")
-    star = settle(met.where((F.col("id") != F.col("a")) & _bounds(percent)).select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct(), "pairs")
+    star = settle(met.where((F.col("id") != F.col("a")) & _bounds(percent)).select("a", F.col("id").alias("b")).distinct(), "pairs")
     links = settle(confirm(star), "links")
     joined = connected(links)
     release(spark)
@@ -352,7 +357,8 @@ def near_duplicates(frame: DataFrame, id_col: str = "doc_id", text_col: str = "t
     short = open_.where(F.col("size") <= LONG)
     other = short.select(F.col("value").alias("value_m"), F.col("id").alias("a"), F.col("n").alias("m"), F.col("at").alias("at_m"), F.col("excess").alias("excess_m"), F.col("component").alias("component_m"))
     rest = short.join(other, (F.col("value") == F.col("value_m")) & (F.col("a") < F.col("id")) & (F.col("component") != F.col("component_m")) & (F.col("excess") + F.col("excess_m") <= 0) & _bounds(percent))
-    rest = rest.select("a", F.col("id").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = rest.select("a", F.col("id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     late = settle(confirm(rest).union(_family_links(open_.where(F.col("size") > LONG), values, percent)), "links")
     if not late.isEmpty():
         first_joined, joined = joined, connected(links.union(late))
