@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm import bpe, chat, exact, maxent, mixing, neardup, ordermin, quality, transducer, warc
+from quernstone.llm import bpe, chat, exact, infill, maxent, mixing, neardup, ngramjoin, ordermin, quality, spelling, transducer, warc
 from quernstone.llm.common import documents, tokenizer_path
 
 
@@ -79,6 +79,20 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordermin.compare_with_next(documents(spark, sf_dir))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(documents(spark, sf_dir)))
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.restore(infill.transform(documents(spark, sf_dir)))
+    digest = lambda column: F.sha2(F.col(column).cast("binary"), 256)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output").alias("output_sha256"), digest("restored").alias("restored_sha256"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.Join(documents(spark, sf_dir), width=4, percent=85).components()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -90,9 +104,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_warc": op9_warc,
     "op10_order_minhash": op10_order_minhash,
+    "op11_spelling": op11_spelling,
+    "op12_infill": op12_infill,
+    "op13_ngram_join": op13_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_exact_dedup": exact.SQL,
     "op9_warc": warc.SQL,
+    "op12_infill": infill.SQL,
 }
