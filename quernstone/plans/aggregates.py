@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernstone.operators.quantiles import exact_quantiles
 from quernstone.plans.catalog import query
 from quernstone.sources.tables import table
 
@@ -38,24 +39,29 @@ def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     round(covar_samp(l_quantity, l_extendedprice), 3) AS covariance, median(l_quantity) AS middle, round(quantile_cont(l_extendedprice, 0.9), 4) AS ninth,
     round((sum(l_quantity ** 3) / count(*) - 3 * avg(l_quantity) * sum(l_quantity ** 2) / count(*) + 2 * avg(l_quantity) ** 3) / var_pop(l_quantity) ** 1.5, 6) AS skew FROM lineitem GROUP BY l_linestatus""")
 def item_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Median and percentile are exact; Spark counts a group's different values, which for prices are bounded by their range."""
-    return table(spark, sf_dir, "lineitem").groupBy("l_linestatus").agg(
+    """Median and percentile are exact, by counts of buckets; no task holds a group's values."""
+    items = table(spark, sf_dir, "lineitem")
+    moments = items.groupBy("l_linestatus").agg(
         F.round(F.stddev_samp("l_quantity"), 6).alias("deviation"),
         F.round(F.var_pop("l_quantity"), 6).alias("variance"),
         F.round(F.corr("l_quantity", "l_extendedprice"), 6).alias("correlation"),
         F.round(F.covar_samp("l_quantity", "l_extendedprice"), 3).alias("covariance"),
-        F.median("l_quantity").alias("middle"),
-        F.round(F.percentile("l_extendedprice", 0.9), 4).alias("ninth"),
         F.round(F.skewness("l_quantity"), 6).alias("skew"),
     )
+    middle = exact_quantiles(items, ["l_linestatus"], "l_quantity", [0.5]).select(F.col("l_linestatus").alias("s"), F.col("quantile").alias("middle"))
+    ninth = exact_quantiles(items, ["l_linestatus"], "l_extendedprice", [0.9]).select(F.col("l_linestatus").alias("t"), F.round("quantile", 4).alias("ninth"))
+    same = lambda c: F.col("l_linestatus").eqNullSafe(F.col(c))
+    return moments.join(middle, same("s"), "left").join(ninth, same("t"), "left").drop("s", "t")
 
 
 @query("SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, true AS near, true AS middle_near FROM lineitem GROUP BY l_returnflag")
 def approximate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sketches against exact values: distinct parts within a tenth, the median quantity within one."""
-    found = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
-        F.count_distinct("l_partkey").alias("parts"), F.approx_count_distinct("l_partkey", 0.02).alias("about"), F.percentile_approx("l_quantity", 0.5).alias("about_middle"), F.median("l_quantity").alias("middle")
-    )
+    """Sketches against exact values: distinct parts within a tenth, the median quantity within one. Each kind has an aggregate of its own; beside a distinct count Spark would keep a sketch for each value."""
+    items = table(spark, sf_dir, "lineitem")
+    about = items.groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey", 0.02).alias("about"), F.percentile_approx("l_quantity", 0.5).alias("about_middle"))
+    parts = items.groupBy(F.col("l_returnflag").alias("f")).agg(F.count_distinct("l_partkey").alias("parts"))
+    middle = exact_quantiles(items, ["l_returnflag"], "l_quantity", [0.5]).select(F.col("l_returnflag").alias("g"), F.col("quantile").alias("middle"))
+    found = about.join(parts, F.col("l_returnflag").eqNullSafe(F.col("f"))).join(middle, F.col("l_returnflag").eqNullSafe(F.col("g")))
     return found.select("l_returnflag", "parts", (F.abs(F.col("about") - F.col("parts")) <= 0.1 * F.col("parts")).alias("near"), (F.abs(F.col("about_middle") - F.col("middle")) <= 1).alias("middle_near"))
 
 

@@ -12,6 +12,9 @@ from quernstone.plans.catalog import query
 from quernstone.sources.tables import table
 from quernstone.streaming import windows
 
+HOURLY = "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value FROM events GROUP BY ALL"
+
+
 @query("""
     SELECT r_name, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DOUBLE) AS revenue, count(*) AS n_items
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
@@ -126,17 +129,11 @@ def user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions(table(spark, sf_dir, "events"), "user_id", "ts", "30 minutes")
 
 
-@query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value FROM events GROUP BY ALL")
+@query(HOURLY)
 def hourly_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.hourly(table(spark, sf_dir, "events"))
 
 
-@query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value FROM events GROUP BY ALL")
-def hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from a stream in complete mode."""
-    return windows.drained(windows.hourly(windows.stream(spark, f"{sf_dir}/events.parquet")))
-
-
 @query("""
     SELECT c_nationkey AS nationkey FROM customer WHERE c_acctbal > 0 INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 0
     EXCEPT SELECT n_nationkey FROM nation WHERE n_regionkey = 0""")

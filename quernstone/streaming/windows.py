@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quernstone.sinks.files import shared_path
 
 
 def _timed(events: DataFrame, late: str) -> DataFrame:
@@ -44,9 +43,24 @@ def distinct_events(events: DataFrame, late: str = "10 minutes") -> DataFrame:
 
 def clicks_with_views(events: DataFrame, others: DataFrame, late: str = "10 minutes") -> DataFrame:
     """Clicks joined with the same user's views of the half hour before: two streams, whose watermarks bound the rows kept."""
+    return _with_views(events, others, late, "inner").select("click_id", "view_id")
+
+
+def _with_views(events: DataFrame, others: DataFrame, late: str, how: str) -> DataFrame:
     clicks = _timed(events.where("event_type = 'click'"), late).select(F.col("user_id").alias("u"), F.col("event_id").alias("click_id"), F.col("at").alias("clicked"))
     views = _timed(others.where("event_type = 'view'"), late).select("user_id", F.col("event_id").alias("view_id"), F.col("at").alias("viewed"))
-    return clicks.join(views, F.expr("u = user_id AND viewed BETWEEN clicked - INTERVAL 30 MINUTES AND clicked")).select("click_id", "view_id")
+    return clicks.join(views, F.expr("u = user_id AND viewed BETWEEN clicked - INTERVAL 30 MINUTES AND clicked"), how)
+
+
+def clicks_and_views(events: DataFrame, others: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """All clicks, each with the same user's views of the half hour before, or with a null once the watermark says that none can come."""
+    return _with_views(events, others, late, "left_outer").select("click_id", "view_id")
+
+
+def hours_of_lost_clicks(events: DataFrame, others: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """Clicks without a view by hour: an aggregate over an outer join, each with its own eviction."""
+    lost = _with_views(events, others, late, "left_outer").where("view_id IS NULL").select("clicked")
+    return lost.groupBy(F.window("clicked", "1 hour").alias("hour")).agg(F.count(F.lit(1)).alias("n")).select(F.col("hour.start").cast("timestamp_ntz").alias("hour"), "n")
 
 
 def _running(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -62,28 +76,3 @@ def _running(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> I
 def running_totals(events: DataFrame) -> DataFrame:
     """Arbitrary state: each user's count and sum, updated batch by batch; the last row of a user holds all events so far."""
     return events.groupBy("user_id").applyInPandasWithState(_running, "user_id long, n long, cents long", "n long, cents long", "update", GroupStateTimeout.NoTimeout)
-
-
-def stream(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet file or folder as a stream."""
-    folder, _, name = path.rpartition("/")
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("pathGlobFilter", name).parquet(folder)
-
-
-def drained(frame: DataFrame, mode: str = "complete") -> DataFrame:
-    """A stream's result once all input there is has been read, as a batch frame.
-
-    State and results are files in the shared folder, so nothing passes through
-    the driver: append mode by the file sink; complete mode, of which the last
-    batch is the result, and update mode, whose rows are added, batch by batch.
-    """
-    spark = frame.sparkSession
-    path, state = shared_path(spark, "drained"), shared_path(spark, "state")
-    writer = frame.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True)
-    if mode == "append":
-        query = writer.format("parquet").option("path", path).start()
-    else:
-        kind = "overwrite" if mode == "complete" else "append"
-        query = writer.foreachBatch(lambda batch, _: batch.write.mode(kind).parquet(path)).start()
-    query.awaitTermination()
-    return spark.read.schema(frame.schema).parquet(path)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quernstone.operators.groups import sessions, top_k
-from quernstone.operators.joins import asof_join, interval_join
+from quernstone.operators.joins import asof_join, interval_join, overlap_join
 from quernstone.operators.vectors import nearest
 from quernstone.plans import registry
 from quernstone.sinks.files import FORMATS, round_trip
@@ -62,30 +62,47 @@ def test_asof_against_a_plain_search(spark, step):
 
 
 def test_nearest_against_all_pairs(spark):
+    """Vectors of two lengths, null and empty ones, and a query that is there twice, in blocks of any size."""
     draw = random.Random(4)
-    rows = [(i, [float(draw.randrange(-3, 4)) for _ in range(5)]) for i in range(60)] + [(100, None), (101, [1.0]), (None, [0.0] * 5), (102, [9.0] * 5)]
+    vector = lambda n: [float(draw.randrange(-3, 4)) for _ in range(n)]
+    rows = [(i, vector(5)) for i in range(60)] + [(-i, vector(2)) for i in range(1, 9)] + [(100, None), (101, [1.0]), (None, [0.0] * 5), (102, [9.0] * 5), (103, [])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
-    good = [(i, v) for i, v in rows if i is not None and v is not None and len(v) == 5]
+    good = [(i, v) for i, v in rows if i is not None and v]
+    asked = [(i, v) for i, v in good if i < 10] + [good[0]]
+    queries = spark.createDataFrame(asked, frame.schema)
+    want = []
+    for i, v in asked:
+        best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in good if j != i and len(v) == len(w))[:4]
+        want += [(i, j, -x, n + 1) for n, (x, j) in enumerate(best)]
     for block in (2, 100):
-        got = [tuple(r) for r in nearest(frame, frame.where("vec_id < 10"), 4, block=block).orderBy("query_id", "rank").collect()]
-        want = []
-        for i, v in good[:10]:
-            best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in good if j != i)[:4]
-            want += [(i, j, -x, n + 1) for n, (x, j) in enumerate(best)]
-        assert got == want
+        assert sorted(tuple(r) for r in nearest(frame, queries, 4, block=block).collect()) == sorted(want)
     assert nearest(frame, frame.limit(0), 3).collect() == []
 
 
+TEXTS = ['a "quoted", text\nline', None, "", " blank ", "  ", "\\N", "\\", "\\\\N", "a\r\nb", "\r", "\n", "_", "__HIVE_DEFAULT_PARTITION__", "a/b=c", "x\ty", "#c", '"', '""', ",", "null", "NaN", "é𝕏", "\x01", "a\\", '\\"']
+
+
+@pytest.mark.parametrize("by", [None, ["p"], ["p", "b"]])
 @pytest.mark.parametrize("kind", FORMATS)
-def test_written_rows_come_back(spark, kind):
-    rows = [(1, 'a "quoted", text\nline', 1.5), (2, None, None), (3, " blank ", -0.0)]
-    frame = spark.createDataFrame(rows, "i long, t string, x double").where("i < 3" if kind == "csv" else "true")
-    frame = frame if kind != "csv" else frame.where("i = 2 OR i = 1").withColumn("t", F.translate("t", "\n", " "))
-    assert sorted(map(tuple, round_trip(frame, kind).collect())) == sorted(map(tuple, frame.collect()))
+def test_written_rows_come_back(spark, kind, by):
+    """The same rows for every format: texts with line breaks, blanks, marks and nothing, also as names of partitions."""
+    at = datetime(2024, 1, 1, 1, 2, 3, 123456)
+    rows = [(i, t, t, [1.5, -0.0, float("inf"), None][i % 4], at if i % 3 else None, i % 2 == 0) for i, t in enumerate(TEXTS)]
+    frame = spark.createDataFrame(rows, "i long, t string, p string, x double, m timestamp_ntz, b boolean").withColumn("z", F.col("m").cast("timestamp"))
+    got = round_trip(frame, kind, by)
+    assert got.schema == frame.schema and sorted(map(repr, got.collect())) == sorted(map(repr, frame.collect()))
     with pytest.raises(ValueError):
         round_trip(frame, "none")
 
 
+def test_filters_on_partitions_leave_out_folders(spark):
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i long, p string")
+    found = round_trip(frame, "parquet", ["p"]).where("p = ''")
+    assert [r.i for r in found.collect()] == [2]
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+
+
 def test_interval_join_at_the_borders(spark):
     left = spark.createDataFrame([(1, 0.0), (1, 3599.0), (1, 3600.0), (1, 7201.0), (2, 3600.0)], "k long, at double")
     right = spark.createDataFrame([(1, 3600.0, 7200.0)], "q long, low double, high double")
@@ -93,6 +110,44 @@ def test_interval_join_at_the_borders(spark):
     assert [r.at for r in got] == [3600.0]
 
 
+def spans(draw, n):
+    """key, low, high, number: with ties, nulls, empty, very long and endless ones."""
+    out = []
+    for i in range(n):
+        low = draw.choice([float(draw.randrange(100)), 50.0, 50.0, None, draw.uniform(0, 100)])
+        high = None if low is None else low + draw.choice([0, 1, 5, draw.uniform(0, 20), -1, 1e9 if draw.random() < 0.1 else 3, float("inf") if draw.random() < 0.05 else 2])
+        out.append((draw.choice([1, 1, 1, 2, None]), low, high, i))
+    return out
+
+
+@pytest.mark.parametrize("step", [1, 1000, 0.1])
+def test_interval_join_against_all_pairs(spark, step):
+    draw = random.Random(8)
+    held = spans(draw, 120)
+    points = [(draw.choice([1, 1, 2, None]), draw.choice([None, draw.uniform(-50, 150), 50.0, float("inf"), 1e9, float("nan")]), i) for i in range(100)]
+    left, right = spark.createDataFrame(points, "k long, t double, i long"), spark.createDataFrame(held, "q int, low double, high double, j long")
+    got = sorted((r.i, r.j) for r in interval_join(left, right, [("k", "q")], F.col("t"), F.col("low"), F.col("high"), step).collect())
+    assert got == sorted((i, j) for k, t, i in points for q, low, high, j in held if None not in (k, t, low, high) and k == q and low <= t <= high) != []
+
+
+def test_a_very_long_interval_has_few_buckets(spark):
+    right = spark.createDataFrame([(0.0, 1e9)], "low double, high double")
+    joined = interval_join(spark.createDataFrame([(5.0,)], "t double"), right, [], F.col("t"), F.col("low"), F.col("high"), 1)
+    assert [tuple(r) for r in joined.collect()] == [(5.0, 0.0, 1e9)]
+
+
+@pytest.mark.parametrize(("tile", "parts"), [(1 << 15, 4), (8, 5), (3, 1)])
+@pytest.mark.parametrize("by", [[], [("k", "q")]])
+def test_overlap_join_against_all_pairs(spark, by, tile, parts):
+    draw = random.Random(9)
+    a, b = spans(draw, 120), spans(draw, 150)
+    left, right = spark.createDataFrame(a, "k long, a double, b double, i long"), spark.createDataFrame(b, "q int, c double, d double, j long")
+    got = sorted((r.i, r.j) for r in overlap_join(left, right, by, ("a", "b"), ("c", "d"), parts, tile).collect())
+    alike = lambda k, q: not by or (k is not None and k == q)
+    assert got == sorted((i, j) for k, s, e, i in a for q, c, d, j in b if None not in (s, e, c, d) and s <= e and c <= d and s <= d and c <= e and alike(k, q)) != []
+    assert overlap_join(left.limit(0), right, by, ("a", "b"), ("c", "d")).collect() == []
+
+
 def test_top_k_and_sessions(spark):
     frame = spark.createDataFrame([("a", i % 4, i) for i in range(12)] + [(None, 1, 99)], "g string, v long, i long")
     got = top_k(frame, ["g"], [F.desc("v"), F.asc("i")], 2).collect()
