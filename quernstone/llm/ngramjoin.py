@@ -52,8 +52,8 @@ from quernstone.llm.neardup import enough, shingle_set
 
 #: Parts beyond the number of differences, and the parts that a set posts for a tile at most.
 SPARE, PARTS = 2, 72
-#: Members from which on a list is worked on in tiles; rows and values of a block.
-LONG, BLOCK_ROWS, BLOCK_VALUES = 64, 1024, 1 << 20
+#: Members beyond which a list is worked on in tiles, which store no pairs; rows and values of a block.
+LONG, BLOCK_ROWS, BLOCK_VALUES = 8, 1024, 1 << 20
 #: Places that the pairs of one class are spread over.
 SALTS = 16
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
