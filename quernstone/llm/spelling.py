@@ -35,6 +35,8 @@ from quernstone.llm.common import Marks, discard, only, settle, text_chunks, tid
 
 #: Different words that a task counts before it hands its counts on.
 HELD = 1 << 18
+#: Words of a task that makes neighbourhoods.
+WORDS = 1 << 12
 #: Neighbours whose hashes are made at a time.
 CELLS = 1 << 18
 #: Hashes are sums of a number for each code point times a power of BASE, modulo 2^64; BASE is odd, so that it can be divided by.
@@ -197,7 +199,8 @@ def near_words(words: DataFrame) -> DataFrame:
     """word, near, near_n: each pair of words of (word, n, hash) that one deletion, replacement or insertion tells apart, in both directions."""
     letters = sorted(r.letter for r in words.select("word").mapInArrow(_letters, "letter string").distinct().collect())  # as many as are allowed in words
     marks = Marks(words.select("hash"))
-    emitted = words.select("word", "hash").mapInArrow(tidied(_neighbours(letters, marks)), "hash long, of long, done int, at int, letter string")
+    tasks = -(-words.count() // WORDS) or 1  # a few MB of words make a thousand times as many neighbours
+    emitted = words.select("word", "hash").repartition(tasks, "hash").mapInArrow(tidied(_neighbours(letters, marks)), "hash long, of long, done int, at int, letter string")
     met = emitted.join(words.select("hash", F.col("word").alias("near"), F.col("n").alias("near_n")), "hash").drop("hash")
     met = met.join(words.select(F.col("hash").alias("of"), "word"), "of")
     rest = F.substring(F.col("word"), F.col("at") + F.when(F.col("done") == INSERTED, 1).otherwise(2), F.length("word"))
