@@ -35,6 +35,8 @@ import json
 import math
 import re
 from collections.abc import Iterator
+from decimal import Decimal
+from fractions import Fraction
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,8 +44,8 @@ from pyspark.sql import functions as F
 
 from quernstone.llm.common import discard, only, settle, tidied
 
-#: Steps of a level, and the deepest nesting that is read.
-LEVEL, DEPTH = 1 << 32, 100
+#: Steps of a level.
+LEVEL = 1 << 32
 LEAST = -(2**63)
 TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 #: The schema keywords that are checked, and those that only describe.
@@ -54,31 +56,49 @@ CHECKED = frozenset(
 DESCRIBING = frozenset("title description default examples format deprecated readOnly writeOnly $schema $id $comment".split())
 
 
-def number(x: int | float) -> str:
+def number(x: int | float | Decimal) -> str:
     """A number as ECMAScript writes it; whole numbers of any size with all their digits."""
-    if isinstance(x, int) or (x.is_integer() and abs(x) < 1e21):
-        return str(int(x))
-    digits, _, power = repr(x).partition("e")
-    if power:
-        return f"{digits.removesuffix('.0')}e{int(power):+d}" if not -7 < int(power) < 21 else format(x, f".{len(digits.replace('-', '').replace('.', '')) - 1 - int(power)}f")
-    return digits
+    if isinstance(x, float):
+        if not x.is_integer():
+            digits, _, power = repr(x).partition("e")
+            return f"{digits.removesuffix('.0')}e{int(power):+d}" if power and int(power) < -6 else format(Decimal(repr(x)), "f") if power else digits
+        x = Decimal(repr(x))
+    return (format(x, "f").removeprefix("-0").removesuffix(".0") or "0") if isinstance(x, Decimal) else str(x)
 
 
 def canonical(value: object) -> str:
-    if isinstance(value, bool) or value is None:
-        return {True: "true", False: "false", None: "null"}[value]
-    if isinstance(value, (int, float)):
-        return number(value)
-    if isinstance(value, str):
-        return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", json.dumps(value, ensure_ascii=False))
-    if isinstance(value, dict):
-        return "{" + ",".join(f"{canonical(k)}:{canonical(value[k])}" for k in sorted(value, key=lambda k: k.encode("utf-16-be", "surrogatepass"))) + "}"
-    return "[" + ",".join(map(canonical, value)) + "]"
+    """Canonical JSON, of a value nested to any depth."""
+    pieces, left = [], [(value, "")]
+    while left:
+        held, after = left.pop()
+        if isinstance(held, dict):
+            pieces.append("{")
+            keys = sorted(held, key=lambda k: k.encode("utf-16-be", "surrogatepass"), reverse=True)
+            left.append((None, "}" + after))
+            for i, key in enumerate(keys):
+                left += [(held[key], "," if i else ""), (key, ":")]
+            continue
+        if isinstance(held, list):
+            pieces.append("[")
+            left.append((None, "]" + after))
+            left += [(x, "," if i else "") for i, x in enumerate(reversed(held))]
+            continue
+        if held is None and after[:1] in ("}", "]"):
+            pieces.append(after)
+            continue
+        if isinstance(held, bool) or held is None:
+            pieces.append({True: "true", False: "false", None: "null"}[held])
+        elif isinstance(held, str):
+            pieces.append(re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", json.dumps(held, ensure_ascii=False)))
+        else:
+            pieces.append(number(held))
+        pieces.append(after)
+    return "".join(pieces)
 
 
 def is_type(value: object, kind: str) -> bool:
     if kind in ("integer", "number"):
-        return not isinstance(value, bool) and (isinstance(value, int) or isinstance(value, float) and (kind == "number" or value.is_integer()))
+        return not isinstance(value, bool) and (isinstance(value, (int, Decimal)) or isinstance(value, float) and (kind == "number" or value.is_integer()))
     return isinstance(value, TYPES[kind])
 
 
@@ -92,6 +112,20 @@ def check_schema(schema: object) -> None:
     for kind in [kinds] if isinstance(kinds, str) else kinds:
         if kind not in TYPES and kind not in ("integer", "number"):
             raise ValueError(f"no type {kind!r}")
+    for name in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "multipleOf"):
+        if name in schema and not is_type(schema[name], "number") or name == "multipleOf" and schema.get(name, 1) <= 0:
+            raise ValueError(f"{name} is {schema[name]!r}")
+    for name in ("minLength", "maxLength", "minItems", "maxItems", "minProperties", "maxProperties"):
+        if name in schema and (not is_type(schema[name], "integer") or schema[name] < 0):
+            raise ValueError(f"{name} is {schema[name]!r}")
+    for name in ("enum", "required", "prefixItems", "anyOf", "allOf", "oneOf"):
+        if not isinstance(schema.get(name, []), list):
+            raise ValueError(f"{name} is no list")
+    for pattern in [*schema.get("patternProperties", {}), *[schema[k] for k in ("pattern",) if k in schema]]:
+        try:
+            re.compile(pattern)
+        except (re.error, TypeError) as error:
+            raise ValueError(f"no pattern: {pattern!r}") from error
     for name in ("properties", "patternProperties"):
         for below in schema.get(name, {}).values():
             check_schema(below)
@@ -102,6 +136,11 @@ def check_schema(schema: object) -> None:
             check_schema(below)
 
 
+def exact(x: int | float | Decimal) -> Fraction:
+    """The number that a JSON text says."""
+    return Fraction(Decimal(repr(x)) if isinstance(x, float) else x)
+
+
 def valid(value: object, schema: dict | bool) -> bool:
     """Whether a value meets a schema of the keywords in CHECKED."""
     if isinstance(schema, bool):
@@ -117,7 +156,7 @@ def valid(value: object, schema: dict | bool) -> bool:
         return False
     if is_type(value, "number"):
         low, high, step = get("minimum", -math.inf), get("maximum", math.inf), get("multipleOf")
-        return low <= value <= high and get("exclusiveMinimum", -math.inf) < value < get("exclusiveMaximum", math.inf) and (step is None or math.isclose(math.remainder(value, step), 0, abs_tol=1e-9 * step))
+        return low <= value <= high and get("exclusiveMinimum", -math.inf) < value < get("exclusiveMaximum", math.inf) and (step is None or exact(value) % exact(step) == 0)
     if isinstance(value, str):
         return get("minLength", 0) <= len(value) <= get("maxLength", math.inf) and ("pattern" not in schema or re.search(schema["pattern"], value) is not None)
     if isinstance(value, list):
@@ -145,23 +184,72 @@ def _finite(text: str) -> float:
     return x if math.isfinite(x := float(text)) else _refuse(text)
 
 
-def _whole(text: str) -> int:
-    return int(text) if len(text) <= 4000 else _refuse(text)
+def _whole(text: str) -> int | Decimal:
+    return int(text) if len(text) <= 4000 else Decimal(text)
+
+
+#: What stands between the values of a JSON text.
+PLACE = re.compile(r"[ \t\n\r]*")
+NUMBER = re.compile(r"(-?(?:0|[1-9][0-9]*))(\.[0-9]+)?([eE][-+]?[0-9]+)?")
+WORDS = {"true": True, "false": False, "null": None}
+
+
+def _deep(text: str) -> object:
+    """JSON of any depth, which the library's recursive reader refuses: open lists and objects are kept in a list."""
+    at, open_, root = 0, [], []
+    held: list | dict = root
+    key, wants = None, "value"
+    while True:
+        at = PLACE.match(text, at).end()
+        c = text[at : at + 1]
+        if not c:
+            break
+        if wants in ("value", "value or end") and not (c == "]" and wants == "value or end"):
+            if c == '"':
+                value, at = json.decoder.scanstring(text, at + 1, True)
+            elif c in "[{":
+                value, at = ([] if c == "[" else {}), at + 1
+            elif (word := text[at : at + 5].rstrip("]}, \t\n\r")) in WORDS or (word := text[at : at + 4]) in WORDS:
+                value, at = WORDS[word], at + len(word)
+            elif found := NUMBER.match(text, at):
+                whole, point, power = found.groups()
+                value, at = (_finite(found[0]) if point or power else _whole(whole)), found.end()
+            else:
+                raise ValueError(text[at : at + 20])
+            if isinstance(held, dict):
+                held[key] = value
+            elif held is root and root:
+                raise ValueError("more than one value")
+            else:
+                held.append(value)
+            if c in "[{":
+                open_.append(held)
+                held, wants = value, "value or end" if c == "[" else "key or end"
+            else:
+                wants = "comma or end"
+        elif c == '"' and wants in ("key", "key or end"):
+            key, at = json.decoder.scanstring(text, at + 1, True)
+            at = PLACE.match(text, at).end()
+            if text[at : at + 1] != ":":
+                raise ValueError("no colon")
+            at, wants = at + 1, "value"
+        elif c == "," and wants == "comma or end" and open_:
+            at, wants = at + 1, "key" if isinstance(held, dict) else "value"
+        elif open_ and wants in ("comma or end", "key or end", "value or end") and c == ("}" if isinstance(held, dict) else "]"):
+            held, at, wants = open_.pop(), at + 1, "comma or end"
+        else:
+            raise ValueError(text[at : at + 20])
+    if open_ or not root:
+        raise ValueError("not ended")
+    return root[0]
 
 
 def loads(text: str) -> object:
-    """JSON; ValueError for what JSON has not, and for nesting deeper than DEPTH."""
+    """JSON; ValueError for what JSON has not."""
     try:
-        found = json.loads(text, parse_constant=_refuse, parse_float=_finite, parse_int=_whole)
-    except RecursionError as error:
-        raise ValueError("nested too deeply") from error
-    level, depth = [found], 0
-    while level:
-        depth += 1
-        if depth > DEPTH:
-            raise ValueError("nested too deeply")
-        level = [x for held in level if isinstance(held, (dict, list)) for x in (held.values() if isinstance(held, dict) else held) if isinstance(x, (dict, list))]
-    return found
+        return json.loads(text, parse_constant=_refuse, parse_float=_finite, parse_int=_whole)
+    except RecursionError:
+        return _deep(text)
 
 
 def _object(text: str) -> dict:
@@ -287,6 +375,43 @@ def format_chats(frame: DataFrame, schemas: dict[str, dict] | None = None, conv_
     return plain.select(names).unionByName(out.select(names)).withColumnsRenamed({"conv": conv_col, "turn": turn_col, "role": role_col})
 
 
+def planted(frame: DataFrame) -> DataFrame:
+    """Conversations in which assistants call a tool, for tables whose conversations call none; every turn is used.
+
+    An assistant's message of turn t calls `search` as call-t with its text as the query;
+    where (conv_id + t) mod 4 is below 2 it needs call-(t + 2), where (conv_id + t) mod 3 is
+    0 its limit is a text, which the schema refuses. The result comes three turns later; where
+    t mod 5 is 1 it names no call, and where (conv_id + t) mod 3 is 1 it comes again a turn
+    after that.
+    """
+    both, turn = F.col("conv_id") + F.col("turn"), F.col("turn")
+    name, after = F.concat(F.lit("call-"), turn), F.when(both % 4 < 2, F.struct(F.concat(F.lit("call-"), turn + 2).alias("$result")))
+    written = lambda limit: F.to_json(F.struct(F.col("text").alias("query"), limit.alias("limit"), after.alias("after")))
+    limit = F.length("text") % 30
+    arguments = F.when(both % 3 == 0, written(limit.cast("string"))).otherwise(written(limit))
+    call = F.to_json(F.struct(F.array(F.struct(name.alias("id"), F.lit("search").alias("name"), arguments.alias("arguments"))).alias("tool_calls")))
+    rows = frame.select("conv_id", "turn", "role", F.when(F.col("role") == "assistant", call).otherwise(F.col("text")).alias("text"))
+    late = F.explode(F.when(both % 3 == 1, F.array(F.lit(3), F.lit(4))).otherwise(F.array(F.lit(3)))).alias("late")
+    results = frame.where("role = 'assistant'").select("conv_id", "turn", F.length("text").alias("size"), late)
+    named = F.concat(F.when(turn % 5 == 1, "lost-").otherwise("call-"), turn)
+    text = F.to_json(F.struct(named.alias("tool_call_id"), (F.col("size") + F.col("late")).cast("string").alias("content")))
+    return rows.union(results.select("conv_id", turn + F.col("late"), F.lit("tool"), text))
+
+
+SQL = f"""
+    WITH a AS (SELECT * FROM conversations WHERE role = 'assistant'),
+    c AS (SELECT a.*, (a.conv_id + a.turn) % 4 < 2 AS needs, n.turn AS needed FROM a LEFT JOIN a n ON n.conv_id = a.conv_id AND n.turn = a.turn + 2),
+    r AS (SELECT c.*, unnest(CASE WHEN (conv_id + turn) % 3 = 1 THEN [3, 4] ELSE [3] END) AS late FROM c)
+    SELECT conv_id, turn, role, turn AS anchor, CAST(0 AS BIGINT) AS step, 'message' AS status, 0 AS n_calls, 0 AS n_invalid, '{{"content":' || to_json(text) || ',"role":' || to_json(role) || '}}' AS message FROM conversations WHERE role <> 'assistant'
+    UNION ALL SELECT conv_id, turn, role, turn, 0, 'call', 1, CASE WHEN (conv_id + turn) % 3 = 0 THEN 1 ELSE 0 END,
+        '{{"content":null,"role":"assistant","tool_calls":[{{"arguments":{{' || CASE WHEN needs THEN '"after":{{"$result":"call-' || (turn + 2) || '"}},' ELSE '' END || '"limit":' ||
+        CASE WHEN (conv_id + turn) % 3 = 0 THEN '"' || (length(text) % 30) || '"' ELSE CAST(length(text) % 30 AS VARCHAR) END || ',"query":' || to_json(text) || '}},"id":"call-' || turn || '","name":"search","valid":' ||
+        CASE WHEN (conv_id + turn) % 3 = 0 THEN 'false' ELSE 'true' END || '}}]}}' FROM c
+    UNION ALL SELECT conv_id, turn + late, 'tool', CASE WHEN turn % 5 = 1 OR late = 4 THEN turn + late WHEN needs AND needed IS NOT NULL THEN needed ELSE turn END,
+        CASE WHEN turn % 5 = 1 OR late = 4 THEN 0 WHEN needs AND needed IS NOT NULL THEN {LEVEL} + 1 ELSE 1 END, CASE WHEN turn % 5 = 1 THEN 'orphan' WHEN late = 4 THEN 'duplicate' ELSE 'result' END, 0, 0,
+        '{{"content":"' || (length(text) + late) || '","role":"tool","tool_call_id":"' || CASE WHEN turn % 5 = 1 THEN 'lost-' ELSE 'call-' END || turn || '"}}' FROM r"""
+
+
 def assemble(formatted: DataFrame, size: int = 64, conv_col: str = "conv_id", turn_col: str = "turn") -> DataFrame:
     """JSON lines of each conversation, in parts of `size` turns: part numbers in order, so that no long conversation is gathered."""
     part = F.floor(F.coalesce("anchor", F.lit(-1)) / size).alias("part")

@@ -2,8 +2,10 @@
 
 A source's weight is its share of all tokens raised to an exponent and
 normalised. The exponent is the largest in [0, 1] whose weights have the target
-entropy (a share of the greatest there is), unless a source would then be
-repeated more often than allowed: then the least that keeps the limit. It is
+entropy, unless a source would then be repeated more often than allowed: then the
+least that keeps the limit. The target lies a stated part of the way from the
+natural entropy to the greatest there is, so that it asks for a change wherever
+sources differ in size; a share of the greatest can be stated instead. It is
 found by bisection; each pass evaluates 15 points in one aggregation over the
 sources, so the list of sources never leaves the executors.
 
@@ -39,6 +41,8 @@ from quernstone.llm.common import discard, only, places, settle
 BLOCK = 1 << 20
 #: Passes of bisection, and points in each: 2 ** -24 in the end.
 PASSES, POINTS = 6, 16
+#: How far the weights go from the natural ones to equal ones, by entropy.
+FLATTEN = 0.5
 #: Blocks of a range, whose tokens are summed before.
 SPAN = 1 << 12
 WORD = r"[^\x20\x09-\x0D]+"
@@ -59,12 +63,12 @@ def _state(totals: DataFrame, exponents: list[float], total: float, budget: floa
     return [(math.log(row[f"z{i}"]) - x * row[f"l{i}"] / row[f"z{i}"], row[f"m{i}"] / row[f"z{i}"] * budget / total) for i, x in enumerate(exponents)]
 
 
-def exponent(totals: DataFrame, budget: float, entropy: float, repeats: float) -> float:
-    """totals: source, tokens > 0. entropy: of the greatest there is, 0 to 1."""
+def exponent(totals: DataFrame, budget: float, entropy: float | None, repeats: float, flatten: float = FLATTEN) -> float:
+    """totals: source, tokens > 0. entropy: the target as a share of the greatest there is, 0 to 1; None: `flatten` of the way there from the natural one."""
     row = totals.agg(F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n")).first()
     if not row.n:
         return 1.0
-    total, target = float(row.t), entropy * math.log(row.n)
+    total, greatest = float(row.t), math.log(row.n)
 
     def search(good_low) -> float:
         """The border between the low exponents, for which good_low holds, and the others; a point where it holds."""
@@ -77,6 +81,7 @@ def exponent(totals: DataFrame, budget: float, entropy: float, repeats: float) -
         return low
 
     ends = _state(totals, [0.0, 1.0], total, budget)
+    target = entropy * greatest if entropy is not None else ends[1][0] + flatten * (greatest - ends[1][0])
     chosen = 1.0 if ends[1][0] >= target else search(lambda h, _: h >= target)
     if _state(totals, [chosen], total, budget)[0][1] > repeats:
         # passes of the rarest source fall as the exponent rises
@@ -94,12 +99,12 @@ def _unsigned(place: Column) -> Column:
     return place.bitwiseXOR(F.lit(-(2**63)))
 
 
-def cuts(rows: DataFrame, entropy: float, repeats: float, budget: float | None, block: int) -> DataFrame:
+def cuts(rows: DataFrame, entropy: float | None, repeats: float, budget: float | None, block: int, flatten: float = FLATTEN) -> DataFrame:
     """rows: key, tokens, place. A row for each source with tokens: key, weight, passes, cut (null: no document gets one more)."""
     totals = settle(rows.groupBy("key").agg(F.sum("tokens").alias("tokens")).where("tokens > 0"), "totals")
     total = totals.agg(F.sum("tokens")).first()[0] or 0
     budget = float(total if budget is None else budget)
-    chosen = exponent(totals, budget, entropy, repeats)
+    chosen = exponent(totals, budget, entropy, repeats, flatten)
     raised = F.exp(F.ln(F.col("tokens") / F.lit(float(total or 1))) * chosen)
     z = totals.agg(F.sum(raised)).first()[0] or 1.0
     plan = totals.select("key", (raised / z).alias("weight"), F.col("tokens").alias("all"))
@@ -137,18 +142,18 @@ def _copies(place: Column) -> Column:
     return F.coalesce(F.col("passes") + more, F.lit(0)).cast("int")
 
 
-def mix(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keyed: bool = False) -> DataFrame:
+def mix(frame: DataFrame, entropy: float | None = None, repeats: float = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keyed: bool = False, flatten: float = FLATTEN) -> DataFrame:
     """A row for each input row: id, source, tokens, weight of the source, copies; keyed: and text_key, the text's 64-bit hash. budget: tokens in all, by default as many as there are."""
     frame = only(frame, id_col, text_col, source_col)
     text = frame[f"`{text_col}`"].cast("string")
     source = frame[f"`{source_col}`"].cast("string")
     rows = frame.select(frame[f"`{id_col}`"].alias("id"), source.alias("source"), _key(source).alias("key"), _tokens(text).alias("tokens"), F.xxhash64(frame[f"`{id_col}`"], text, F.lit(seed)).alias("place"), *([F.xxhash64(text).alias("text_key")] if keyed else []))
     rows = settle(rows, "places")
-    dealt = rows.join(cuts(rows.select("key", "tokens", "place"), entropy, repeats, budget, block), "key", "left")
+    dealt = rows.join(cuts(rows.select("key", "tokens", "place"), entropy, repeats, budget, block, flatten), "key", "left")
     return dealt.select(F.col("id").alias(id_col), "source", "tokens", F.coalesce("weight", F.lit(0.0)).alias("weight"), _copies(F.col("place")).alias("copies"), *(["text_key"] if keyed else []))
 
 
-def deal(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def deal(frame: DataFrame, entropy: float | None = None, repeats: float = 2.0, budget: float | None = None, seed: int = 17, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", flatten: float = FLATTEN) -> DataFrame:
     """The frame's rows with all their columns, each as often as its copies say.
 
     The documents are joined with one row of each source; texts are only moved
@@ -158,7 +163,7 @@ def deal(frame: DataFrame, entropy: float = 0.95, repeats: float = 2.0, budget:
     found = only(frame, id_col, text_col, source_col)
     rows = found.select(_key(found[f"`{source_col}`"].cast("string")).alias("key"), _tokens(found[f"`{text_col}`"].cast("string")).alias("tokens"), F.xxhash64(found[f"`{id_col}`"], found[f"`{text_col}`"].cast("string"), F.lit(seed)).alias("place"))
     rows = settle(rows, "places")
-    made = cuts(rows, entropy, repeats, budget, block)
+    made = cuts(rows, entropy, repeats, budget, block, flatten)
     discard(rows)
     at = {name: f"c{places(names, name)}" for name in (id_col, text_col, source_col)}
     plain = frame.toDF(*[f"c{i}" for i in range(len(names))])

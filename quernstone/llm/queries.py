@@ -44,13 +44,14 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The tools that conversations may call.
 TOOLS = {
-    "search": {"type": "object", "properties": {"query": {"type": "string"}, "limit": {"type": "integer"}}, "required": ["query"], "additionalProperties": False},
+    "search": {"type": "object", "properties": {"query": {"type": "string"}, "limit": {"type": "integer"}, "after": {"type": "object"}}, "required": ["query"], "additionalProperties": False},
     "calculate": {"type": "object", "properties": {"expression": {"type": "string"}}, "required": ["expression"], "additionalProperties": False},
 }
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"), TOOLS)
+    """Links the calls and results that are planted in all conversations; the tables' own call no tools."""
+    return chat.format_chats(chat.planted(spark.read.parquet(f"{sf_dir}/conversations.parquet")), TOOLS)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_chat": chat.SQL,
     "op6_exact_dedup": exact.SQL,
     "op9_warc": warc.SQL,
     "op12_infill": infill.SQL,

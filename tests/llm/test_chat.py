@@ -2,6 +2,7 @@
 
 import json
 import random
+from decimal import Decimal
 
 import pytest
 
@@ -128,7 +129,7 @@ def test_texts_that_are_hard_to_read(spark):
     got = {r.turn: (r.status, r.message) for r in chat.format_chats(frame).collect()}
     assert len(got) == len(texts)
     assert got[0] == ("orphan", '{"content":"\\ud800","role":"tool","tool_call_id":"a"}') and json.loads(got[0][1])["content"] == "\ud800"
-    assert got[1][0] == "orphan" and [got[i][0] for i in (2, 3, 4, 5, 6, 8, 9, 10)] == ["message"] * 8
+    assert got[1][0] == "orphan" and [got[i][0] for i in (2, 3, 4, 8, 9, 10)] == ["message"] * 6 and got[5][0] == got[6][0] == "orphan"
     assert got[7][1] == '{"content":{"x":1,"\U0001f600":2,"\ufb33":1},"role":"tool","tool_call_id":"a"}'  # by UTF-16 units
     mixed = json.dumps({"tool_calls": [{"id": 5, "name": "search", "arguments": {"query": "x"}}, {"id": "a", "name": "search", "arguments": {"query": "x"}}]})
     made, calls, wrong, _ = chat.message("assistant", mixed, SCHEMAS)
@@ -136,7 +137,7 @@ def test_texts_that_are_hard_to_read(spark):
 
 
 def test_numbers_are_written_as_in_ecmascript():
-    for x, want in ((1.0, "1"), (1e21, "1e+21"), (1e-7, "1e-7"), (1.5e-6, "0.0000015"), (123e18, "123000000000000000000"), (-0.0, "0"), (5e-324, "5e-324"), (2**70, str(2**70)), (0.1, "0.1")):
+    for x, want in ((1.0, "1"), (1e21, "1" + "0" * 21), (10**25, "1" + "0" * 25), (1e25, "1" + "0" * 25), (Decimal("-" + "9" * 5000), "-" + "9" * 5000), (1e-7, "1e-7"), (1.5e-6, "0.0000015"), (123e18, "123000000000000000000"), (-0.0, "0"), (5e-324, "5e-324"), (2**70, str(2**70)), (0.1, "0.1")):
         assert chat.number(x) == want
 
 
@@ -158,3 +159,47 @@ def test_all_keywords_of_schemas():
     for unknown in ({"dependentRequired": {}}, {"type": "text"}, {"properties": {"a": {"$ref": "#"}}}, {"anyOf": [3]}):
         with pytest.raises(ValueError):
             chat.check_schema(unknown)
+
+
+def test_depth_and_size_have_no_limit():
+    deep = '{"a":' * 20_000 + '[1,2.5,"x\\n",true,null,{}]' + "}" * 20_000
+    assert chat.canonical(chat.loads(deep)) == deep
+    call = '{"tool_calls":[{"id":"a","name":"t","arguments":{"x":' + "[" * 5_000 + "1" * 6_000 + "]" * 5_000 + "}}]}"
+    text, links, wrong, _ = chat.message("assistant", call, {"t": {"type": "object"}})
+    assert "1" * 6_000 in text and [x["id"] for x in links] == ["a"] and not wrong
+
+
+def some_json(draw, depth):
+    kind = draw.randrange(7 if depth else 5)
+    if kind == 5:
+        return [some_json(draw, depth - 1) for _ in range(draw.randrange(4))]
+    if kind == 6:
+        return {str(i): some_json(draw, depth - 1) for i in range(draw.randrange(4))}
+    return [None, True, draw.randrange(-99, 99), '"\\\n é' + str(draw.random()), draw.random() * 10 ** draw.randrange(-9, 30)][kind]
+
+
+def test_the_reader_of_deep_json_agrees_with_the_library():
+    draw = random.Random(7)
+    for _ in range(1500):
+        value = some_json(draw, 4)
+        text = json.dumps(value, indent=draw.choice([None, 1]))
+        assert chat._deep(text) == value
+        for bad in (text[:-1], text + "]", text.replace(",", ",,", 1) + ",", text.replace(":", "", 1), text.replace('"', "", 1)):
+            try:
+                want = json.loads(bad)
+            except ValueError:
+                with pytest.raises(ValueError):
+                    chat._deep(bad)
+            else:
+                assert chat._deep(bad) == want
+
+
+@pytest.mark.parametrize("schema", [{"multipleOf": 0}, {"multipleOf": "2"}, {"pattern": "("}, {"patternProperties": {"(": True}}, {"minimum": "a"}, {"maxLength": -1}, {"required": "a"}, {"properties": {"x": {"pattern": "["}}}])
+def test_schemas_that_cannot_be_checked_are_refused(schema):
+    with pytest.raises(ValueError):
+        chat.check_schema(schema)
+
+
+def test_multiples_are_exact():
+    assert chat.valid(10**400, {"multipleOf": 2}) and not chat.valid(10**400 + 1, {"multipleOf": 2})
+    assert chat.valid(0.3, {"multipleOf": 0.1}) and not chat.valid(0.35, {"multipleOf": 0.1}) and chat.valid(10**25, {"const": 1e25})
