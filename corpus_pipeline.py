@@ -27,7 +27,7 @@ QUALITY = 0.3
 
 
 def one_of_each(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of docs whose id and text own their group, one where rows are alike in both.
+    """The rows of docs whose id and text own their group; of rows alike in both the one whose columns, as JSON, have the least hash, wherever they lie.
 
     decided: doc_id, text_key (the text's 64-bit hash, a null text taken as empty) and owner of each row of docs.
     """
@@ -45,7 +45,9 @@ def one_of_each(docs: DataFrame, decided: DataFrame) -> DataFrame:
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     keyed = plain.withColumn("key", F.xxhash64(F.coalesce(F.col(f"c{text_at}").cast("string"), F.lit(""))))
     keyed = keyed.withColumn("number", F.col(f"c{id_at}").cast("long")).withColumn("marked", marked(marks.cell(F.col("key"))))
-    stays = keyed.where("marked").join(groups.where("NOT owner"), F.col("number").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key")), "left_anti").dropDuplicates(["number", "key"])
+    stays = keyed.where("marked").join(groups.where("NOT owner"), F.col("number").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key")), "left_anti")
+    whole = F.struct(*plain.columns)
+    stays = stays.groupBy("number", "key").agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("row")).select("row.*")
     return keyed.where("NOT marked").select(plain.columns).union(stays.select(plain.columns)).toDF(*names)
 
 
