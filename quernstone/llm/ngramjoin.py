@@ -18,9 +18,10 @@ classes by tiles would meet all pairs, so tiles are cut by size and by content:
 2. The members of a key's list are paired with its hub, the member that meets
    most others; linked classes are joined to components. In a group of copies with
    changes of their own each, the hub is the text that they were made from.
-3. Lists whose members are in different components go on: short ones in pairs,
-   long ones, joined to families, in tiles of two blocks of one band or of
-   neighbours.
+3. Lists whose members are in different components go on. A list of up to LONG
+   members is one tile, of bitmaps, and gives back the pairs that these leave open;
+   longer ones are joined to families, whose tiles are two blocks of one band or of
+   neighbours, with whole sets, and give back links only.
 
 Each pair goes through hashed bitmaps first: a bit for each value modulo twice the
 set's size at least. A bit of the one that the other lacks stands for a value that
@@ -52,8 +53,8 @@ from quernstone.llm.neardup import enough, shingle_set
 
 #: Parts beyond the number of differences, and the parts that a set posts for a tile at most.
 SPARE, PARTS = 2, 72
-#: Members beyond which a list is worked on in tiles, which store no pairs; rows and values of a block.
-LONG, BLOCK_ROWS, BLOCK_VALUES = 8, 1024, 1 << 20
+#: Members beyond which a list is cut into blocks; rows and values of a block.
+LONG, BLOCK_ROWS, BLOCK_VALUES = 1024, 1024, 1 << 20
 #: Places that the pairs of one class are spread over.
 SALTS = 16
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
@@ -147,18 +148,16 @@ def common_values(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x))
 
 
-def tile_links(ids: list[int], sides: list[int], components: list[int], sets: list[np.ndarray], maps: list[np.ndarray], percent: int, every: bool) -> list[tuple[int, int]]:
-    """Links between rows of different sides (or, where all rows are of one, of that): enough to join what they join, or all."""
-    n = np.array([len(s) for s in sets], np.int64)
+def open_pairs(n: np.ndarray, sides: np.ndarray, components: np.ndarray, maps: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the pairs of different components, and of different sides unless all rows are of one, whose bitmaps leave a link open; with their greatest likeness."""
     size = min(map(len, maps))
     bits = np.stack([folded(m, size) for m in maps])
     counts = np.bitwise_count(bits).sum(1).astype(np.int64)
-    side, component = np.array(sides), np.array(components)
-    within = side.min() == side.max()
+    within = sides.min() == sides.max()
     found: list[tuple[np.ndarray, ...]] = []
-    for i in range(len(ids)):
-        others = np.arange(i + 1, len(ids)) if within else np.flatnonzero(side > side[i])
-        others = others[(component[others] != component[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
+    for i in range(len(n)):
+        others = np.arange(i + 1, len(n)) if within else np.flatnonzero(sides > sides[i])
+        others = others[(components[others] != components[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
         for start in range(0, len(others), max(1, (1 << 20) // size)):
             part = others[start : start + max(1, (1 << 20) // size)]
             shared = np.bitwise_count(bits[i] & bits[part]).sum(1).astype(np.int64)
@@ -168,8 +167,13 @@ def tile_links(ids: list[int], sides: list[int], components: list[int], sets: li
             if open_.any():
                 found.append((np.full(open_.sum(), i), part[open_], bound[open_] / union[open_]))
     if not found:
-        return []
-    left, right, likeness = (np.concatenate(x) for x in zip(*found))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def tile_links(ids: list[int], sides: list[int], components: list[int], sets: list[np.ndarray], maps: list[np.ndarray], percent: int, every: bool) -> list[tuple[int, int]]:
+    """Links between rows of different sides (or, where all rows are of one, of that): enough to join what they join, or all."""
+    left, right, likeness = open_pairs(np.array([len(s) for s in sets], np.int64), np.array(sides), np.array(components), maps, percent)
     label = {c: c for c in components}
 
     def find(x: int) -> int:
@@ -255,29 +259,46 @@ def _confirmed(percent: int):
     return run
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
+    """The rows of one key, which is the first columns, after the other, without it."""
+    key, held = None, []
+    for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
+        for row in zip(*[c.to_pylist() for c in batch.columns]):
+            if key != row[:keys]:
+                if held:
+                    yield held
+                key, held = row[:keys], []
+            held.append(row[keys:])
+    if held:
+        yield held
+
+
 def _tiles(percent: int, every: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+    """Links of tiles of whole sets. Rows: family, k, i, l, j, class, side, component, bits, values."""
 
-        def links() -> list[tuple[int, int]]:
-            if len({x[2] for x in held}) < 2:
-                return []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _gathered(batches, 5):
             ids, sides, components, maps, sets = zip(*held)
-            return tile_links(ids, sides, components, [np.frombuffer(s, np.uint64) for s in sets], [np.frombuffer(m, np.uint64) for m in maps], percent, every)
+            if len(set(components)) > 1:
+                yield from _pairs(tile_links(ids, sides, components, [np.frombuffer(s, np.uint64) for s in sets], [np.frombuffer(m, np.uint64) for m in maps], percent, every))
 
-        for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
-            for *tile, own, side, component, bits, values in zip(*[c.to_pylist() for c in batch.columns]):
-                if key != tile:
-                    yield from _pairs(links())
-                    key, held = tile, []
-                held.append((own, side, component, bits, values))
-        yield from _pairs(links())
+    return run
+
+
+def _open(percent: int):
+    """Pairs of a list that bitmaps leave open. Rows: key, class, n, component, bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _gathered(batches, 1):
+            ids, n, components, maps = zip(*held)
+            left, right, _ = open_pairs(np.array(n, np.int64), np.zeros(len(n)), np.array(components), [np.frombuffer(m, np.uint64) for m in maps], percent)
+            yield from _pairs([(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in zip(left.tolist(), right.tolist())])
 
     return run
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked: by bitmaps, then by whole sets. A class may have any number of pairs as a: they go to SALTS places by b, and its set to each of these."""
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int, bounded: bool = False) -> DataFrame:
+    """The pairs (a, b) that are linked: by bitmaps, unless these have bounded them, then by whole sets. A class may have any number of pairs as a: they go to SALTS places by b, and its set to each of these."""
 
     def held(pairs: DataFrame, name: str) -> DataFrame:
         salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
@@ -285,7 +306,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         rights = sets.select(F.col("class").alias("b"), F.col("n").alias("m"), F.col(name).alias("right"))
         return salted.join(rights, "b").join(lefts, ["a", "salt"]).select("a", "b", "n", "m", "left", "right")
 
-    possible = held(pairs, "bits").mapInArrow(tidied(_possible(percent)), "a long, b long")
+    possible = pairs if bounded else held(pairs, "bits").mapInArrow(tidied(_possible(percent)), "a long, b long")
     return held(possible, "values").mapInArrow(tidied(_confirmed(percent)), "a long, b long")
 
 
@@ -318,13 +339,11 @@ def _rest(lists: DataFrame, sets: DataFrame, tried: DataFrame | None, percent: i
     """lists: key, class, n, component. Links between members of different components of a list."""
     open_ = lists.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low < high").select("key", "size")
     open_ = settle(lists.join(open_, "key"), "open")
-    short = open_.where(F.col("size") <= LONG)
-    other = short.select(F.col("key").alias("key_m"), F.col("class").alias("a"), F.col("n").alias("m"), F.col("component").alias("component_m"))
-    sized = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-    pairs = short.join(other, (F.col("key") == F.col("key_m")) & (F.col("a") < F.col("class")) & (F.col("component") != F.col("component_m")) & sized).select("a", F.col("class").alias("b")).distinct()
+    short = open_.where(F.col("size") <= LONG).select("key", "class", "n", "component").join(sets.select("class", "bits"), "class").select("key", "class", "n", "component", "bits")
+    pairs = short.repartition("key").sortWithinPartitions("key").mapInArrow(tidied(_open(percent)), "a long, b long").distinct()
     if tried is not None:
         pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    found = settle(_linked(pairs, sets, percent).union(_tile_links(open_.where(F.col("size") > LONG), sets, percent, every)).distinct(), "links")
+    found = settle(_linked(pairs, sets, percent, bounded=True).union(_tile_links(open_.where(F.col("size") > LONG), sets, percent, every)).distinct(), "links")
     discard(open_)
     return found
 

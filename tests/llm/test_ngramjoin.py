@@ -129,7 +129,7 @@ def documents(seed, n=240):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "width", "percent", "long"), [(1, 4, 85, 8), (2, 5, 80, 64), (3, 4, 85, 2)])
+@pytest.mark.parametrize(("seed", "width", "percent", "long"), [(1, 4, 85, 8), (2, 5, 80, 1024), (3, 4, 85, 1)])
 def test_frames_against_all_pairs(spark, monkeypatch, seed, width, percent, long):
     monkeypatch.setattr(ngramjoin, "LONG", long)
     monkeypatch.setattr(ngramjoin, "BLOCK_ROWS", 8)
