@@ -15,7 +15,7 @@ from quernstone.operators.settled import settled
 BLOCK = 4096
 
 
-def _best(k: int, places: int):
+def best_of(k: int, places: int):
     """The k best rows for each query of a tile; its queries come first, then its rows, of which a batch at a time is held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +77,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
     found = read(rows).withColumn("size", F.size("v")).join(blocks, "size")
     found = found.select("size", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("query_block"), F.pmod(F.xxhash64("id", "v"), F.lit(parts)).cast("int").alias("row_block"), F.lit(1).alias("is_row"), F.lit(None).cast("long").alias("number"), "id", "v")
     tile = ["size", "query_block", "row_block"]
-    met = asked.union(found).repartition(*tile).sortWithinPartitions(*tile, "is_row").mapInArrow(_best(k, places), "number long, id long, similarity double")
+    met = asked.union(found).repartition(*tile).sortWithinPartitions(*tile, "is_row").mapInArrow(best_of(k, places), "number long, id long, similarity double")
     rank = F.row_number().over(Window.partitionBy("number").orderBy(F.desc("similarity"), "id"))
     best = met.withColumn("rank", rank).where(F.col("rank") <= k)
     return best.join(wanted.select("number", F.col("id").alias("query_id")), "number").select("query_id", "id", "similarity", "rank")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernstone.operators import sketches
 from quernstone.operators.quantiles import exact_quantiles
 from quernstone.plans.catalog import query
 from quernstone.sources.tables import table
@@ -88,3 +89,32 @@ def nation_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(
         F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("names"), F.max_by("n_name", "n_nationkey").alias("last_name"), F.size(F.collect_set(F.length("n_name"))).alias("lengths")
     )
+
+
+MONTH = F.date_format("l_shipdate", "yyyy-MM")
+
+
+@query("""
+    WITH i AS (SELECT *, strftime(l_shipdate, '%Y-%m') AS month FROM lineitem), early AS (SELECT * FROM i WHERE month BETWEEN '1996-02' AND '1996-10'), late AS (SELECT * FROM i WHERE month BETWEEN '1997-01' AND '1998-06')
+    SELECT l_returnflag, count(*) AS n, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_orderkey) AS orders,
+        (SELECT count(*) FROM (SELECT l_orderkey FROM early e WHERE e.l_returnflag = x.l_returnflag INTERSECT SELECT l_orderkey FROM late l WHERE l.l_returnflag = x.l_returnflag)) AS again,
+        (SELECT count(*) FROM (SELECT l_orderkey FROM early e WHERE e.l_returnflag = x.l_returnflag EXCEPT SELECT l_orderkey FROM late l WHERE l.l_returnflag = x.l_returnflag)) AS never_again
+    FROM early x GROUP BY l_returnflag""")
+def sketch_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct parts and orders of some months, and orders that came again or never again in others, from stored sketches of single months. Theta sketches of up to 65,536 values, as here, are exact."""
+    path = sketches.store(table(spark, sf_dir, "lineitem"), MONTH, ["l_returnflag"], ["l_partkey", "l_orderkey"])
+    early = sketches.merged(spark, path, "1996-02", "1996-10", ["l_returnflag"])
+    late = sketches.merged(spark, path, "1997-01", "1998-06", ["l_returnflag"]).select(F.col("l_returnflag").alias("flag"), F.col("theta_l_orderkey").alias("late"))
+    both = early.join(late, F.col("l_returnflag").eqNullSafe(F.col("flag")), "left")
+    count, orders = F.theta_sketch_estimate, F.col("theta_l_orderkey")
+    again = F.when(F.col("late").isNotNull(), count(F.theta_intersection(orders, F.col("late")))).otherwise(0)
+    return both.select("l_returnflag", F.col("rows").alias("n"), count("theta_l_partkey").alias("parts"), count(orders).alias("orders"), again.alias("again"), (count(orders) - again).alias("never_again"))
+
+
+@query()
+def sketch_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimates from stored sketches of months, merged over a year and a half, with their errors: distinct orders, and quantiles of the price."""
+    path = sketches.store(table(spark, sf_dir, "lineitem"), MONTH, ["l_returnflag"], ["l_orderkey"], ["l_extendedprice"])
+    found = sketches.estimated(sketches.merged(spark, path, "1996-01", "1997-06", ["l_returnflag"]), [0.1, 0.5, 0.9])
+    error = sketches.errors()
+    return found.select("l_returnflag", F.col("rows").alias("n"), F.col("hll_l_orderkey").alias("orders"), F.lit(error["hll"]).alias("orders_error"), F.col("kll_l_extendedprice").alias("prices"), F.lit(error["kll"]).alias("prices_rank_error"))

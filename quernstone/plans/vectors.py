@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernstone.operators.settled import settled
+from quernstone.operators.vector_index import build
 from quernstone.operators.vectors import nearest
 from quernstone.plans.catalog import query
 from quernstone.sources.tables import table
@@ -18,3 +20,17 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest of every twentieth vector."""
     rows = table(spark, sf_dir, "embeddings")
     return nearest(rows, rows.where(F.col("vec_id") % 20 == 0), 5)
+
+
+@query()
+def indexed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every twentieth vector in the cells nearest to it, of an index of all rows; recall is the share of the exact ten that were found, over all queries."""
+    rows = table(spark, sf_dir, "embeddings")
+    queries = rows.where(F.col("vec_id") % 20 == 0)
+    index = build(rows)
+    found = index.nearest(queries, 10, max(1, len(index.centres) * 5 // 8))
+    exact = nearest(rows, queries, 10).select("query_id", "id", F.lit(1).alias("hit"))
+    # similarities that tie at the tenth place have one exact winner, the smaller id, in both searches
+    both = settled(found.join(exact, ["query_id", "id"], "full"), "found")
+    recall = both.agg((F.count_if(F.col("hit").isNotNull() & F.col("rank").isNotNull()) / F.sum("hit")).alias("recall")).first().recall
+    return both.where("rank IS NOT NULL").select("query_id", "id", "similarity", "rank", F.lit(recall).alias("recall"))
