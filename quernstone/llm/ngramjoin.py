@@ -23,8 +23,8 @@ classes by tiles would meet all pairs, so tiles are cut by size and by content:
    longer ones are joined to families, whose tiles are two blocks of one band or of
    neighbours, with whole sets, and give back links only.
 
-Each pair goes through hashed bitmaps first: a bit for each value modulo twice the
-set's size at least. A bit of the one that the other lacks stands for a value that
+Each pair goes through hashed bitmaps first: a bit for each value modulo SPREAD times
+the set's size at least. A bit of the one that the other lacks stands for a value that
 the other lacks, so counts of bits bound the overlap from above. Only pairs that
 the bound leaves open are intersected, as sorted arrays of whole sets.
 
@@ -55,6 +55,8 @@ from quernstone.llm.neardup import enough, shingle_set
 SPARE, PARTS = 2, 72
 #: Members beyond which a list is cut into blocks; rows and values of a block.
 LONG, BLOCK_ROWS, BLOCK_VALUES = 1024, 1024, 1 << 20
+#: Bits of a bitmap for each value, at least.
+SPREAD = 8
 #: Places that the pairs of one class are spread over.
 SALTS = 16
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
@@ -120,8 +122,8 @@ def posted_keys(values: np.ndarray, percent: int, most: int | None = PARTS) -> n
 
 
 def bitmap(values: np.ndarray) -> np.ndarray:
-    """Words of 64 bits, a power of two of them, with at least two bits for each value."""
-    size = 1 << max(6, (2 * len(values) - 1).bit_length())
+    """Words of 64 bits, a power of two of them, with at least SPREAD bits for each value."""
+    size = 1 << max(6, (SPREAD * len(values) - 1).bit_length())
     at = values & np.uint64(size - 1)
     out = np.zeros(size // 8, np.uint8)
     np.bitwise_or.at(out, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
@@ -209,6 +211,24 @@ def _posted(width: int, percent: int, most: int | None):
     return run
 
 
+def _kept_keys(marks: Marks):
+    """A row for each key whose cell is marked."""
+    marked, mask = marks.tester(), np.int64((1 << marks.bits) - 1)
+    schema = pa.schema([("key", pa.int64()), ("class", pa.int64()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute  # noqa: F401
+
+        for batch in (whole.slice(i, 1024) for whole in batches for i in range(0, whole.num_rows, 1024)):
+            lists = batch.column("keys")
+            keys, times = lists.flatten().to_numpy(zero_copy_only=False), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+            kept = marked(keys & mask)
+            own = [np.repeat(batch.column(c).to_numpy(zero_copy_only=False), times)[kept] for c in ("class", "n")]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys[kept], *own)], schema=schema)
+
+    return run
+
+
 def _sets(width: int, marks: Marks):
     """Whole sets and their bitmaps of the rows whose cell is marked."""
     import xxhash
@@ -240,7 +260,7 @@ def _possible(percent: int):
     """The pairs whose bitmaps leave a link open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
             rows = zip(*[batch.column(c).to_pylist() for c in ("a", "b", "n", "m", "left", "right")])
             yield from _pairs([(a, b) for a, b, n, m, x, y in rows if enough(overlap_bound(n, np.frombuffer(x, np.uint64), m, np.frombuffer(y, np.uint64)), n, m, percent)])
 
@@ -343,8 +363,9 @@ def _rest(lists: DataFrame, sets: DataFrame, tried: DataFrame | None, percent: i
     pairs = short.repartition("key").sortWithinPartitions("key").mapInArrow(tidied(_open(percent)), "a long, b long").distinct()
     if tried is not None:
         pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    pairs = settle(pairs, "pairs")
     found = settle(_linked(pairs, sets, percent, bounded=True).union(_tile_links(open_.where(F.col("size") > LONG), sets, percent, every)).distinct(), "links")
-    discard(open_)
+    discard(open_, pairs)
     return found
 
 
@@ -363,15 +384,7 @@ class Join:
         shared = settle(keys.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key"), "shared")
         release(frame.sparkSession)
         marks = Marks(shared)
-        test = marks.tester()
-
-        @F.pandas_udf("boolean")
-        def marked(cells):
-            import pandas as pd
-
-            return pd.Series(test(cells.to_numpy()))
-
-        posted = keys.where(marked(marks.cell(F.col("key")))).join(shared, "key").distinct()
+        posted = linkable.select("class", "n", "keys").mapInArrow(tidied(_kept_keys(marks)), "key long, class long, n long").join(shared, "key").distinct()
         posted = settle(posted, "posted")
         members = posted.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
         met = posted.join(members, "key").groupBy("class").agg(F.sum("members").alias("met"))

@@ -7,7 +7,8 @@ where they are read, so that only digests and lengths are shuffled. FAN leaves o
 nodes hash to the node above, up to a root for each segment. The trees of two
 replicas are built side by side, each level written once, a FANth of the one
 below. An audit compares roots, and descends only below nodes that differ, down
-to the records that are damaged; what agrees is never read below its root.
+to the records that are damaged: of each level, which is scanned, only the children
+of nodes that differ are compared.
 
 Places and offsets are prefix sums in two levels: over the sums of (id, first
 digits of the digest), then within each of these; records alike in all are
