@@ -15,10 +15,11 @@ SESSIONS = "user_id long, number long, session_start timestamp, session_end time
 class IdleSessions(StatefulProcessor):
     """Sessions of a key, given out when the watermark says that nothing can join them any more.
 
-    A map holds the open sessions by their beginning: late rows, as far as the
-    watermark lets them in, may widen one or join two. A value counts the sessions
-    given out, a list holds the sizes of the last KEPT of them. A timer for each open
-    session fires when its gap has passed in event time.
+    A list holds the open sessions: late rows, as far as the watermark lets them in, may
+    widen one or join two. A value counts the sessions given out and keeps the sizes of
+    the last KEPT of them. One timer a key, in event time, is set for the session that
+    ends first; when it fires, all that the watermark has passed are given out at once,
+    so that a key costs a few calls of the store a batch, however many sessions end.
     """
 
     KEPT = 3
@@ -28,44 +29,41 @@ class IdleSessions(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "start long", "last long, n long, cents long")
-        self.closed = handle.getValueState("closed", "number long")
-        self.recent = handle.getListState("recent", "n long")
+        self.open = handle.getListState("open", "start long, last long, n long, cents long")
+        self.closed = handle.getValueState("closed", "number long, recent array<long>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        spans = [(start[0], *held) for start, held in self.open.iterator()]
-        before = {s[0]: s for s in spans}
+        spans = [tuple(s) for s in self.open.get()]
         for frame in rows:
             at = frame["at"].to_numpy().astype("datetime64[us]").astype("int64").tolist()
-            spans += [(t, t, 1, c) for t, c in zip(at, frame["cents"].tolist())]
-            spans = self.merged(spans)
-        now = {s[0]: s for s in spans}
-        for start in before.keys() - now.keys():
-            self.open.removeKey((start,))
-        for start, span in now.items():
-            if before.get(start) != span:
-                self.open.updateValue((start,), span[1:])
-                self.handle.registerTimer(self.due(span[1]))
+            spans = self.merged(spans + [(t, t, 1, c) for t, c in zip(at, frame["cents"].tolist())])
+        self.kept(spans)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        spans = sorted((start[0], *held) for start, held in self.open.iterator())
-        done = [s for s in spans if self.due(s[1]) <= expiredTimerInfo.getExpiryTimeInMs()]
-        if not done:  # the session went on after the timer was set
+        spans, passed = sorted(tuple(s) for s in self.open.get()), timerValues.getCurrentWatermarkInMs()
+        done = [s for s in spans if self.due(s[1]) <= passed]
+        if not done:  # an earlier timer gave these out, or the session went on
             yield pd.DataFrame()
             return
-        number = self.closed.get()[0] if self.closed.exists() else 0
-        recent = [n for (n,) in self.recent.get()] if self.recent.exists() else []
-        out = []
+        number, recent = self.closed.get() if self.closed.exists() else (0, [])
+        recent, out = list(recent), []
         for start, last, n, cents in done:
             number, recent = number + 1, [*recent, n][-self.KEPT :]
             out.append((key[0], number, start, last + self.gap, n, cents, sum(recent) / len(recent)))
-            self.open.removeKey((start,))
-        self.closed.update((number,))
-        self.recent.put([(n,) for n in recent])
+        self.closed.update((number, recent))
+        self.kept(spans[len(done) :])
         frame = pd.DataFrame(out, columns=["user_id", "number", "session_start", "session_end", "n_events", "cents", "recent"])
         yield frame.assign(session_start=pd.to_datetime(frame["session_start"], unit="us"), session_end=pd.to_datetime(frame["session_end"], unit="us"))
 
+    def kept(self, spans: list[tuple]) -> None:
+        """Writes the open sessions, and sets the timer of the one that ends first."""
+        if spans:
+            self.open.put(spans)
+            self.handle.registerTimer(min(self.due(s[1]) for s in spans))
+        else:
+            self.open.clear()
+
     def close(self) -> None:
         pass
 
@@ -92,22 +90,32 @@ def idle_sessions(events: DataFrame, late: str = "10 minutes", gap_minutes: int
 
 
 class FirstSeen(StatefulProcessor):
-    """The first row of each id of a key; an id is forgotten when it has not been written for as long as the state lives."""
+    """The first row of each id of a key. A map holds the ids by ranges of WIDTH; a range that got no new id for as long as the state lives is forgotten."""
+
+    WIDTH = 1 << 20
 
     def __init__(self, lives_ms: int):
         self.lives_ms = lives_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "event_id long", "n long", self.lives_ms)
+        self.seen = handle.getMapState("seen", "range long", "ids array<long>", self.lives_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        held: dict[int, set[int]] = {}
+        fresh: set[int] = set()
         for frame in rows:
-            fresh = []
+            kept = []
             for event in frame["event_id"].tolist():
-                fresh.append(not self.seen.containsKey((event,)))
-                if fresh[-1]:
-                    self.seen.updateValue((event,), (1,))
-            yield frame[fresh]
+                at = event // self.WIDTH
+                if at not in held:
+                    held[at] = set(self.seen.getValue((at,))[0]) if self.seen.containsKey((at,)) else set()
+                kept.append(event not in held[at])
+                if kept[-1]:
+                    held[at].add(event)
+                    fresh.add(at)
+            yield frame[kept]
+        for at in fresh:
+            self.seen.updateValue((at,), (sorted(held[at]),))
 
     def close(self) -> None:
         pass
