@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,8 +46,8 @@ def one_of_each(docs: DataFrame, decided: DataFrame) -> DataFrame:
     keyed = plain.withColumn("key", F.xxhash64(F.coalesce(F.col(f"c{text_at}").cast("string"), F.lit(""))))
     keyed = keyed.withColumn("number", F.col(f"c{id_at}").cast("long")).withColumn("marked", marked(marks.cell(F.col("key"))))
     stays = keyed.where("marked").join(groups.where("NOT owner"), F.col("number").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key")), "left_anti")
-    whole = F.struct(*plain.columns)
-    stays = stays.groupBy("number", "key").agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("row")).select("row.*")
+    first = Window.partitionBy("number", "key").orderBy(F.xxhash64(F.to_json(F.struct(*plain.columns))))
+    stays = stays.withColumn("place", F.row_number().over(first)).where("place = 1")
     return keyed.where("NOT marked").select(plain.columns).union(stays.select(plain.columns)).toDF(*names)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.operators import sketches
@@ -91,7 +91,8 @@ def nation_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-MONTH = F.date_format("l_shipdate", "yyyy-MM")
+def _months() -> Column:
+    return F.date_format("l_shipdate", "yyyy-MM")
 
 
 @query("""
@@ -102,7 +103,7 @@ MONTH = F.date_format("l_shipdate", "yyyy-MM")
     FROM early x GROUP BY l_returnflag""")
 def sketch_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct parts and orders of some months, and orders that came again or never again in others, from stored sketches of single months. Theta sketches of up to 65,536 values, as here, are exact."""
-    path = sketches.store(table(spark, sf_dir, "lineitem"), MONTH, ["l_returnflag"], ["l_partkey", "l_orderkey"])
+    path = sketches.store(table(spark, sf_dir, "lineitem"), _months(), ["l_returnflag"], ["l_partkey", "l_orderkey"])
     early = sketches.merged(spark, path, "1996-02", "1996-10", ["l_returnflag"])
     late = sketches.merged(spark, path, "1997-01", "1998-06", ["l_returnflag"]).select(F.col("l_returnflag").alias("flag"), F.col("theta_l_orderkey").alias("late"))
     both = early.join(late, F.col("l_returnflag").eqNullSafe(F.col("flag")), "left")
@@ -114,7 +115,7 @@ def sketch_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def sketch_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Estimates from stored sketches of months, merged over a year and a half, with their errors: distinct orders, and quantiles of the price."""
-    path = sketches.store(table(spark, sf_dir, "lineitem"), MONTH, ["l_returnflag"], ["l_orderkey"], ["l_extendedprice"])
+    path = sketches.store(table(spark, sf_dir, "lineitem"), _months(), ["l_returnflag"], ["l_orderkey"], ["l_extendedprice"])
     found = sketches.estimated(sketches.merged(spark, path, "1996-01", "1997-06", ["l_returnflag"]), [0.1, 0.5, 0.9])
     error = sketches.errors()
     return found.select("l_returnflag", F.col("rows").alias("n"), F.col("hll_l_orderkey").alias("orders"), F.lit(error["hll"]).alias("orders_error"), F.col("kll_l_extendedprice").alias("prices"), F.lit(error["kll"]).alias("prices_rank_error"))

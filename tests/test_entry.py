@@ -17,3 +17,13 @@ def test_general_queries_do_without_the_training_data_operators(monkeypatch):
     queries = entry.queries()
     assert "revenue_by_region" in queries and not any(name.startswith("op") and name[2:3].isdigit() or name == "pipeline" for name in queries)
     assert set(entry.oracle_sql()) <= set(queries)
+
+
+def test_imports_need_no_session():
+    """Modules are imported before there is a session, so no column is made while they load."""
+    import os
+    import subprocess
+
+    code = "import __spark_entry__ as e; print(len(e.queries()) >= len(e.oracle_sql()) > 50)"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(entry.__file__))
+    assert done.stdout.strip() == "True", done.stderr[-500:]
