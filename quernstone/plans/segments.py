@@ -34,3 +34,16 @@ def segment_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments.write(documents.where("lang IS DISTINCT FROM 'en'"), path)
     found = segments.read(spark, path, range_bytes=1 << 20)
     return found.select("doc_id", "source", F.length("text").cast("long").alias("chars"), F.md5("text").alias("digest"))
+
+
+@query("""
+    SELECT source, lang, count(*) AS n, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS chars, CAST(max(doc_id) AS BIGINT) AS last FROM documents GROUP BY source, lang""")
+def segment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in three commits, each taken by a stream that begins again where it ended, and written once; then grouped."""
+    source, sink, checkpoint = (shared_path(spark, "segments") for _ in range(3))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    for part in range(3):
+        segments.write(documents.where(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(3)) == part), source)
+        segments.drain(source, sink, "lengths", spark, checkpoint, lambda frame: frame.select("doc_id", "source", "lang", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars")))
+    found = segments.read(spark, sink)
+    return found.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"), F.max("doc_id").alias("last"))

@@ -15,6 +15,12 @@ same here as in Spark are applied to the lines, and the plan states them; Spark
 applies all others itself. What the driver holds is one line a segment: 400,000 at 100 TB
 in segments of 256 MB.
 
+Streams read what was committed since the last batch, list by list in order, so a
+folder that a stream reads should have one writer at a time; a list that hides
+others stops it. Streams write a list a batch, which bears the stream's name and
+the batch's number: a batch that comes again after a failure changes nothing. Files that a stream's
+failed attempts left are in no list; they stay, unread.
+
 Defined results: nulls, empty texts, line breaks, NaN and infinities come back
 as they were; dates and moments are written as whole numbers of days and
 microseconds; other types than the ones below are refused; a folder without a
@@ -80,15 +86,29 @@ def listed(system: fs.FileSystem, root: str) -> list[str]:
     return sorted(f.path for f in found if f.base_name.startswith("list-"))
 
 
-def committed(path: str) -> tuple[T.StructType, list[dict]]:
-    """The columns and the segments of a folder."""
+def heads(path: str) -> list[tuple[str, dict]]:
+    """The committed lists' names with their first lines, in order."""
+    system, root = opened(path)
+    found = []
+    for name in listed(system, root):
+        with system.open_input_stream(name) as stream:
+            found.append((name.rpartition("/")[2], json.loads(stream.read().decode().split("\n", 1)[0])))
+    return found
+
+
+def committed(path: str, after: str = "", up_to: str | None = None) -> tuple[T.StructType, list[dict]]:
+    """The columns and the segments of a folder, or of its lists after one and up to another."""
     system, root = opened(path)
     schema, segments = None, []
     for name in listed(system, root):
+        if name.rpartition("/")[2] <= after or (up_to is not None and name.rpartition("/")[2] > up_to):
+            continue
         with system.open_input_stream(name) as stream:
             head, *lines = stream.read().decode().splitlines()
         head = json.loads(head)
         if head["overwrite"]:
+            if after:
+                raise ValueError(f"{name} hides rows that a stream has read")
             schema, segments = None, []
         schema = schema or T.StructType.fromJson(head["schema"])
         segments += [json.loads(line) for line in lines]
@@ -226,7 +246,9 @@ class Reader(ds.DataSourceReader):
 
     def partitions(self) -> list[Range]:
         schema, segments = committed(self.path)
-        kept = [s for s in segments if all(may_hold(f, schema, s) for f in self.filters)]
+        return self.ranges([s for s in segments if all(may_hold(f, schema, s) for f in self.filters)])
+
+    def ranges(self, kept: list[dict]) -> list[Range]:
         return [Range(s["name"], i, min(i + self.range_bytes, s["bytes"])) for s in kept for i in range(0, s["bytes"], self.range_bytes)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
@@ -254,6 +276,26 @@ class Reader(ds.DataSourceReader):
                 yield batch(rows)
 
 
+class StreamReader(ds.DataSourceStreamReader):
+    """Offsets are names of lists; a batch has the lists after one and up to another."""
+
+    def __init__(self, reader: Reader):
+        self.reader = reader
+
+    def initialOffset(self) -> dict:
+        return {"list": ""}
+
+    def latestOffset(self) -> dict:
+        names = listed(*opened(self.reader.path))
+        return {"list": names[-1].rpartition("/")[2] if names else ""}
+
+    def partitions(self, start: dict, end: dict) -> list[Range]:
+        return self.reader.ranges(committed(self.reader.path, start["list"], end["list"])[1]) if start["list"] < end["list"] else []
+
+    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+        return self.reader.read(partition)
+
+
 @dataclass
 class Written(ds.WriterCommitMessage):
     segments: list
@@ -299,15 +341,19 @@ class Writer(ds.DataSourceArrowWriter):
                 stream.close()
         return Written(done)
 
-    def commit(self, messages: list[Written | None]) -> None:
+    def commit(self, messages: list[Written | None], told: dict | None = None) -> None:
+        """told: more for the list's first line."""
         system, root = opened(self.path)
         segments = [s for m in messages if m is not None for s in m.segments]
-        head = {"overwrite": self.overwrite, "schema": nullable(self.schema).jsonValue()}
-        name = f"{time.time_ns():020d}-{self.job}"
+        head = {"overwrite": self.overwrite, "schema": nullable(self.schema).jsonValue()} | (told or {})
+        last = max((int(x.rpartition("/")[2].split("-")[1]) for x in listed(system, root)), default=0)
+        name = f"{max(time.time_ns(), last + 1):020d}-{uuid.uuid4().hex}"
         system.create_dir(root, recursive=True)
         with system.open_output_stream(f"{root}/new-{name}", compression=None) as stream:
             stream.write("\n".join(json.dumps(x) for x in [head, *segments]).encode())
         system.move(f"{root}/new-{name}", f"{root}/list-{name}")
+        if told is not None:
+            return  # a stream's later batches may be under way in the same folder
         kept = {s["name"] for s in segments}
         for f in system.get_file_info(fs.FileSelector(f"{root}/data-{self.job}", allow_not_found=True)):
             if f"data-{self.job}/{f.base_name}" not in kept:
@@ -319,8 +365,32 @@ class Writer(ds.DataSourceArrowWriter):
             system.delete_dir(f"{root}/data-{self.job}")
 
 
+class StreamWriter(ds.DataSourceStreamArrowWriter):
+    """Segments of a batch lie in a folder of the writer's run; its list says which are the batch's."""
+
+    def __init__(self, writer: Writer, stream: str):
+        self.writer, self.stream = writer, stream
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        return self.writer.write(iterator)
+
+    def commit(self, messages: list[Written | None], batchId: int) -> None:
+        told = {"stream": self.stream, "batch": batchId}
+        if any(told.items() <= head.items() for _, head in heads(self.writer.path)):
+            self.abort(messages, batchId)
+        else:
+            self.writer.commit(messages, told)
+
+    def abort(self, messages: list[Written | None], batchId: int) -> None:
+        system, root = opened(self.writer.path)
+        for message in messages:
+            for segment in message.segments if message is not None else []:
+                if system.get_file_info(f"{root}/{segment['name']}").type == fs.FileType.File:
+                    system.delete_file(f"{root}/{segment['name']}")
+
+
 class Segments(ds.DataSource):
-    """Options: path, segment_bytes (writing), range_bytes (reading)."""
+    """Options: path, segment_bytes (writing), range_bytes (reading), stream (the name under which a stream writes)."""
 
     @classmethod
     def name(cls) -> str:
@@ -343,6 +413,14 @@ class Segments(ds.DataSource):
             raise ValueError(f"other columns than those of {self.options['path']}")
         return Writer(self.options["path"], checked(schema), overwrite, self._size("segment_bytes", SEGMENT_BYTES))
 
+    def streamReader(self, schema: T.StructType) -> StreamReader:
+        return StreamReader(self.reader(schema))
+
+    def streamWriter(self, schema: T.StructType, overwrite: bool) -> StreamWriter:
+        if overwrite or not self.options.get("stream"):
+            raise ValueError("a stream appends under a name: option stream")
+        return StreamWriter(self.writer(schema, False), self.options["stream"])
+
 
 def register(spark: SparkSession) -> None:
     """Makes the format known to a session and has it offer filters."""
@@ -358,3 +436,11 @@ def write(frame: DataFrame, path: str, overwrite: bool = False, segment_bytes: i
 def read(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     register(spark)
     return spark.read.format("segments").option("range_bytes", range_bytes).load(path)
+
+
+def drain(path: str, to: str, stream: str, spark: SparkSession, checkpoint: str, change: Callable[[DataFrame], DataFrame] = lambda frame: frame, range_bytes: int = RANGE_BYTES) -> None:
+    """Takes what was committed to a folder since the last call with this checkpoint, changes it, and commits it to another, once."""
+    register(spark)
+    found = spark.readStream.format("segments").option("range_bytes", range_bytes).load(path)
+    writer = change(found).writeStream.format("segments").option("path", to).option("stream", stream)
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

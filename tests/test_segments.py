@@ -122,3 +122,33 @@ def test_other_types_are_refused(spark):
     for frame in (spark.sql("SELECT array(1) AS a"), spark.sql("SELECT 1.5BD AS a")):
         with pytest.raises(Exception, match="no segments of"):
             segments.write(frame, shared_path(spark, "segments"))
+
+
+def test_streams_read_and_write_each_commit_once(spark):
+    source, sink, checkpoint = (shared_path(spark, "segments") for _ in range(3))
+
+    def drain():
+        segments.drain(source, sink, "evens", spark, checkpoint, lambda frame: frame.where("id % 2 = 0"), range_bytes=64)
+
+    for low in (0, 100, 200):
+        segments.write(spark.range(low, low + 50, 1, 3), source, segment_bytes=100)
+        segments.write(spark.range(low + 50, low + 60), source)
+        drain()
+        drain()  # nothing new
+    want = [i for low in (0, 100, 200) for i in range(low, low + 60) if i % 2 == 0]
+    assert sorted(r.id for r in segments.read(spark, sink).collect()) == want
+    # a batch that comes again is not added, and leaves no file
+    written = [h for _, h in segments.heads(sink)]
+    assert [h["batch"] for h in written] == sorted({h["batch"] for h in written}) and len(written) >= 3
+    before = files(sink)
+    writer = segments.StreamWriter(segments.Writer(sink, segments.committed(sink)[0], False, 1 << 20), "evens")
+    import pyarrow as pa
+
+    message = writer.write(iter([pa.RecordBatch.from_pydict({"id": [998]})]))
+    assert len(files(sink)) == len(before) + 1
+    writer.commit([message, None], 0)
+    assert files(sink) == before and segments.read(spark, sink).count() == len(want)
+    # rows that a stream has read can't be hidden from it
+    segments.write(spark.range(1), source, overwrite=True)
+    with pytest.raises(Exception, match="hides rows"):
+        drain()
