@@ -136,6 +136,15 @@ def test_a_very_long_interval_has_few_buckets(spark):
     assert [tuple(r) for r in joined.collect()] == [(5.0, 0.0, 1e9)]
 
 
+def test_a_full_bucket_of_few_rows_meets_in_many_tasks(spark):
+    rows = spark.range(10_000).select(F.col("id"), (F.col("id") / 20_000).alias("t"))
+    near = rows.select(F.col("id").alias("j"), (F.col("t") - 0.00005).alias("low"), (F.col("t") + 0.00005).alias("high"))
+    found = interval_join(rows, near, [], F.col("t"), F.col("low"), F.col("high"), 1).select("id", "j", F.spark_partition_id().alias("task")).collect()
+    inside = lambda i, j: j / 20_000 - 0.00005 <= i / 20_000 <= j / 20_000 + 0.00005
+    assert sorted((r.id, r.j) for r in found) == [(i, j) for i in range(10_000) for j in range(max(0, i - 2), min(10_000, i + 3)) if inside(i, j)]
+    assert len({r.task for r in found}) > 1
+
+
 @pytest.mark.parametrize(("tile", "parts"), [(1 << 15, 4), (8, 5), (3, 1)])
 @pytest.mark.parametrize("by", [[], [("k", "q")]])
 def test_overlap_join_against_all_pairs(spark, by, tile, parts):
