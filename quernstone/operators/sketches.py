@@ -18,8 +18,8 @@ def errors(hll: int = HLL, theta: int = THETA, kll: int = KLL) -> dict[str, floa
     return {"hll": 1.04 / 2 ** (hll / 2), "theta": 1 / (2**theta - 1) ** 0.5, "kll": 2.296 / kll**0.9723}
 
 
-def store(frame: DataFrame, period: Column, by: Sequence[str] = (), distinct: Sequence[str] = (), spread: Sequence[str] = (), path: str | None = None, hll: int = HLL, theta: int = THETA, kll: int = KLL) -> str:
-    """Writes a row of sketches for each period and group, partitioned by period: rows, and for each column hll_ and theta_ (distinct) or kll_ (spread, as doubles).
+def store(frame: DataFrame, period: Column, by: Sequence[str] = (), distinct: Sequence[str] = (), spread: Sequence[str] = (), path: str | None = None, hll: int = HLL, theta: int = THETA, kll: int = KLL, theta_of: Sequence[str] = ()) -> str:
+    """Writes a row of sketches for each period and group, partitioned by period: rows, and for each column hll_ and theta_ (distinct), theta_ alone (theta_of) or kll_ (spread, as doubles).
 
     Sketches are merged in the tasks that read the rows, so that a group sends a sketch
     a task. Writing again replaces the periods that are written and no others. Null
@@ -28,12 +28,19 @@ def store(frame: DataFrame, period: Column, by: Sequence[str] = (), distinct: Se
     path = path or shared_path(frame.sparkSession, "sketches")
     made = [F.count(F.lit(1)).alias("rows")]
     made += [x for c in distinct for x in (F.hll_sketch_agg(F.col(f"`{c}`"), F.lit(hll)).alias(f"hll_{c}"), F.theta_sketch_agg(F.col(f"`{c}`"), F.lit(theta)).alias(f"theta_{c}"))]
+    made += [F.theta_sketch_agg(F.col(f"`{c}`"), F.lit(theta)).alias(f"theta_{c}") for c in theta_of]
     made += [F.kll_sketch_agg_double(F.col(f"`{c}`").cast("double"), F.lit(kll)).alias(f"kll_{c}") for c in spread]
     sketches = frame.groupBy(period.alias("period"), *[F.col(f"`{b}`") for b in by]).agg(*made)
     sketches.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(path)
     return path
 
 
+def buckets(frame: DataFrame, column: str, theta: int = THETA) -> Column:
+    """A bucket for each value of a column, of about a quarter at most of the distinct values for which a theta sketch is exact. A bucket's share strays from that by a hundredth or so and the count it rests on by some hundredths."""
+    values = frame.agg(F.approx_count_distinct(f"`{column}`").alias("n")).first().n
+    return F.pmod(F.xxhash64(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))), F.lit(max(1, -(-4 * values // 2**theta)))).cast("int")
+
+
 def merged(spark: SparkSession, path: str, low: object, high: object, by: Sequence[str] = (), theta: int = THETA) -> DataFrame:
     """by, rows and the merged sketches of the periods from low to high; only their folders are read."""
     found = spark.read.parquet(path).where(F.col("period").between(F.lit(low), F.lit(high)))

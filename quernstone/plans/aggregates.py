@@ -102,14 +102,20 @@ def _months() -> Column:
         (SELECT count(*) FROM (SELECT l_orderkey FROM early e WHERE e.l_returnflag = x.l_returnflag EXCEPT SELECT l_orderkey FROM late l WHERE l.l_returnflag = x.l_returnflag)) AS never_again
     FROM early x GROUP BY l_returnflag""")
 def sketch_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct parts and orders of some months, and orders that came again or never again in others, from stored sketches of single months. Theta sketches of up to 65,536 values, as here, are exact."""
-    path = sketches.store(table(spark, sf_dir, "lineitem"), _months(), ["l_returnflag"], ["l_partkey", "l_orderkey"])
-    early = sketches.merged(spark, path, "1996-02", "1996-10", ["l_returnflag"])
-    late = sketches.merged(spark, path, "1997-01", "1998-06", ["l_returnflag"]).select(F.col("l_returnflag").alias("flag"), F.col("theta_l_orderkey").alias("late"))
-    both = early.join(late, F.col("l_returnflag").eqNullSafe(F.col("flag")), "left")
-    count, orders = F.theta_sketch_estimate, F.col("theta_l_orderkey")
-    again = F.when(F.col("late").isNotNull(), count(F.theta_intersection(orders, F.col("late")))).otherwise(0)
-    return both.select("l_returnflag", F.col("rows").alias("n"), count("theta_l_partkey").alias("parts"), count(orders).alias("orders"), again.alias("again"), (count(orders) - again).alias("never_again"))
+    """Distinct parts and orders of some months, and orders that came again or never again in others, from stored sketches of single months. Values are dealt into buckets of few enough for a theta sketch to be exact; buckets have no value in common, so their counts add up."""
+    items, spans = table(spark, sf_dir, "lineitem"), (("1996-02", "1996-10"), ("1997-01", "1998-06"))
+    parts, orders = (sketches.buckets(items, c) for c in ("l_partkey", "l_orderkey"))
+    by = ["l_returnflag", "bucket"]
+    by_part = sketches.store(items.withColumn("bucket", parts), _months(), by, theta_of=["l_partkey"])
+    by_order = sketches.store(items.withColumn("bucket", orders), _months(), by, theta_of=["l_orderkey"])
+    early, late = (sketches.merged(spark, by_order, *span, by) for span in spans)
+    late = late.select(F.col("l_returnflag").alias("flag"), F.col("bucket").alias("of"), F.col("theta_l_orderkey").alias("late"))
+    both = early.join(late, F.col("l_returnflag").eqNullSafe(F.col("flag")) & (F.col("bucket") == F.col("of")), "left")
+    count, held = F.theta_sketch_estimate, F.col("theta_l_orderkey")
+    again = F.when(F.col("late").isNotNull(), count(F.theta_intersection(held, F.col("late")))).otherwise(0)
+    found = both.groupBy("l_returnflag").agg(F.sum("rows").alias("n"), F.sum(count(held)).alias("orders"), F.sum(again).alias("again"))
+    seen = sketches.merged(spark, by_part, *spans[0], by).groupBy(F.col("l_returnflag").alias("f")).agg(F.sum(count("theta_l_partkey")).alias("parts"))
+    return found.join(seen, F.col("l_returnflag").eqNullSafe(F.col("f"))).select("l_returnflag", "n", "parts", "orders", "again", (F.col("orders") - F.col("again")).alias("never_again"))
 
 
 @query()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quernstone.operators import sketches
 from quernstone.operators.vector_index import build
 from quernstone.operators.vectors import nearest
+from quernstone.plans import registry
 from quernstone.sinks.files import shared_path
 from quernstone.sinks.tables import bucketed, overwrite_partitions
 
@@ -88,3 +89,13 @@ def test_long_lists_are_cut(spark, vectors, monkeypatch):
     assert sorted(map(tuple, build(vectors, cells=3).nearest(queries, 5, 3).collect())) == sorted(map(tuple, nearest(vectors, queries, 5).collect()))
     with pytest.raises(ValueError):
         build(vectors.limit(0))
+
+
+def test_sketch_sets_are_exact_above_the_size_of_a_sketch(spark, tmp_path):
+    """200,000 orders: every fourth of them again in the later months."""
+    rows = spark.range(250_000).select(
+        F.lit("A").alias("l_returnflag"), F.pmod("id", F.lit(200_000)).alias("id"), F.when(F.col("id") < 200_000, F.lit("1996-03-05")).otherwise("1997-02-03").cast("timestamp_ntz").alias("l_shipdate")
+    )
+    rows.select("l_returnflag", "l_shipdate", F.floor(F.col("id") / 2).alias("l_partkey"), (F.col("id") * 4).alias("l_orderkey")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    (got,) = registry.QUERIES["sketch_sets"](spark, str(tmp_path)).collect()
+    assert got.asDict() == {"l_returnflag": "A", "n": 200_000, "parts": 100_000, "orders": 200_000, "again": 50_000, "never_again": 150_000}
