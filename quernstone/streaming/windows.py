@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-
+from quernstone.streaming.state import BUCKETS, by_bucket
 
 def _timed(events: DataFrame, late: str) -> DataFrame:
     """With the event time as a timestamp `at`, and its watermark on a stream."""
@@ -64,15 +64,22 @@ def hours_of_lost_clicks(events: DataFrame, others: DataFrame, late: str = "10 m
 
 
 def _running(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Count and cents so far; one row for each batch of a user."""
-    n, cents = state.get if state.exists else (0, 0)
+    """Count and cents so far of a bucket's users; one row for each batch of a user."""
+    totals = {user: (n, cents) for user, n, cents in zip(*state.get)} if state.exists else {}
+    touched: set[int] = set()
     for frame in frames:
-        n += len(frame)
-        cents += int((frame["value"] * 100).round().sum())
-    state.update((n, cents))
-    yield pd.DataFrame({"user_id": [key[0]], "n": [n], "cents": [cents]})
-
-
-def running_totals(events: DataFrame) -> DataFrame:
-    """Arbitrary state: each user's count and sum, updated batch by batch; the last row of a user holds all events so far."""
-    return events.groupBy("user_id").applyInPandasWithState(_running, "user_id long, n long, cents long", "n long, cents long", "update", GroupStateTimeout.NoTimeout)
+        cents = (frame["value"] * 100).round().groupby(frame["user"])
+        for user, n, sum_ in zip(cents.size().index.tolist(), cents.size().tolist(), cents.sum().tolist()):
+            before = totals.get(user, (0, 0))
+            totals[user] = before[0] + n, before[1] + int(sum_)
+            touched.add(user)
+    state.update((list(totals), [n for n, _ in totals.values()], [cents for _, cents in totals.values()]))
+    found = sorted(touched)
+    users = pd.array(found if key[0] >= 0 else [None] * len(found), "Int64")
+    yield pd.DataFrame({"user_id": users, "n": [totals[u][0] for u in found], "cents": [totals[u][1] for u in found]})
+
+
+def running_totals(events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Arbitrary state: each user's count and sum, updated batch by batch; the last row of a user holds all events so far. State is kept by bucket of users."""
+    rows = by_bucket(events, buckets).select("bucket", "user", "value")
+    return rows.groupBy("bucket").applyInPandasWithState(_running, "user_id long, n long, cents long", "users array<long>, n array<long>, cents array<long>", "update", GroupStateTimeout.NoTimeout)
