@@ -5,23 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernstone.operators.settled import settled
 from quernstone.plans.catalog import query
 from quernstone.plans.relational import HOURLY
 from quernstone.plans.windows import SLIDING
 from quernstone.sources.tables import table
 from quernstone.streaming import state, windows
-from quernstone.streaming.feeds import drained, fed, quarters, staged
+from quernstone.streaming.feeds import drained, fed, files_for, quarters, staged
 
 #: Micro-batches that a stream query reads its events in.
 BATCHES = 4
 #: Batches of the feed with late rows, the last of which closes what is open.
 LATE_BATCHES = 6
+#: Rows of a bucket of users in a micro-batch, about.
+BUCKET_ROWS = 1 << 12
+
+
+def _buckets(spark: SparkSession, sf_dir: str, batches: int) -> int:
+    """Buckets of users, so many that a micro-batch has about BUCKET_ROWS rows in each."""
+    return max(1, -(-table(spark, sf_dir, "events").count() // (batches * BUCKET_ROWS)))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream, a quarter of their time after the other."""
     events = table(spark, sf_dir, "events")
-    return fed(spark, staged(events, quarters(events, BATCHES), BATCHES), events)
+    files = files_for(events, BATCHES)
+    return fed(spark, staged(events, quarters(events, BATCHES), BATCHES, files), events, files)
 
 
 def _late_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -35,15 +44,16 @@ def _late_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     events = table(spark, sf_dir, "events")
     fifths = LATE_BATCHES - 1
     at = quarters(events, fifths)
-    ends = events.groupBy(at.alias("fifth")).agg(F.max("ts").alias("end"))
+    ends = settled(events.groupBy(at.alias("fifth")).agg(F.max("ts").alias("end")), "ends")
     placed = events.withColumn("fifth", at).join(F.broadcast(ends), "fifth")  # as many rows as fifths
     behind = (F.col("event_id") % 2 == 0) & (F.col("ts") >= F.col("end") - F.expr("INTERVAL 1 MINUTE"))
     number = F.when((F.col("event_id") % 97 == 5) & (F.col("fifth") < 2), fifths - 1).when(behind & (F.col("fifth") < fifths - 1), F.col("fifth") + 1).otherwise(F.col("fifth"))
     last = events.agg((F.max("ts") + F.expr("INTERVAL 10 DAYS")).alias("ts"))
     closing = last.select(F.lit(-1).cast("long").alias("event_id"), "ts", F.lit(-1).cast("long").alias("user_id"), F.explode(F.array(F.lit("click"), F.lit("view"))).alias("event_type"), F.lit(0.0).alias("value"), F.lit("{}").alias("props"))
     rows = placed.select(*events.columns, number.alias("batch")).unionByName(closing.withColumn("batch", F.lit(fifths)))
-    path = staged(rows, F.col("batch"), LATE_BATCHES)
-    return fed(spark, path, rows).drop("batch"), fed(spark, path, rows).drop("batch")
+    files = files_for(events, fifths)
+    path = staged(rows, F.col("batch"), LATE_BATCHES, files)
+    return fed(spark, path, rows, files).drop("batch"), fed(spark, path, rows, files).drop("batch")
 
 
 #: The events that are not too late, in SQL.
@@ -75,7 +85,8 @@ def distinct_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream holds every event twice, the second time a micro-batch later."""
     events = table(spark, sf_dir, "events")
     rows = events.withColumn("batch", quarters(events, BATCHES)).withColumn("batch", F.explode(F.array("batch", F.col("batch") + 1)))
-    return drained(windows.distinct_events(fed(spark, staged(rows, F.col("batch"), BATCHES + 1), rows)), "append")
+    files = files_for(rows, BATCHES + 1)
+    return drained(windows.distinct_events(fed(spark, staged(rows, F.col("batch"), BATCHES + 1, files), rows, files)), "append")
 
 
 @query("""
@@ -83,14 +94,15 @@ def distinct_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE c.event_type = 'click' AND v.event_type = 'view'""")
 def joined_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    path = staged(events, quarters(events, BATCHES), BATCHES)
-    return drained(windows.clicks_with_views(fed(spark, path, events), fed(spark, path, events)), "append")
+    files = files_for(events, BATCHES)
+    path = staged(events, quarters(events, BATCHES), BATCHES, files)
+    return drained(windows.clicks_with_views(fed(spark, path, events, files), fed(spark, path, events, files)), "append")
 
 
 @query("SELECT user_id, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY user_id")
 def stateful_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's last row is the one with most events."""
-    rows = drained(windows.running_totals(_events(spark, sf_dir).select("user_id", "value")), "update")
+    rows = drained(windows.running_totals(_events(spark, sf_dir).select("user_id", "value"), _buckets(spark, sf_dir, BATCHES)), "update")
     return rows.groupBy("user_id").agg(F.max("n").alias("n"), F.max_by("cents", "n").alias("cents"))
 
 
@@ -101,7 +113,7 @@ def stateful_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT *, round(avg(n_events) OVER (PARTITION BY user_id ORDER BY number ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS recent FROM sessions""")
 def idle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions ended by inactivity, from value, list and map state and event-time timers, over six micro-batches with late rows."""
-    found = drained(state.idle_sessions(_late_events(spark, sf_dir)[0]), "append").where("user_id <> -1")
+    found = drained(state.idle_sessions(_late_events(spark, sf_dir)[0], buckets=_buckets(spark, sf_dir, LATE_BATCHES - 1)), "append").where("user_id <> -1")
     return found.withColumns({"session_start": F.col("session_start").cast("timestamp_ntz"), "session_end": F.col("session_end").cast("timestamp_ntz"), "recent": F.round("recent", 6)})
 
 
@@ -110,7 +122,8 @@ def first_seen_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is sent again a micro-batch later; map state with a time to live tells."""
     events = table(spark, sf_dir, "events")
     rows = events.withColumn("batch", quarters(events, 2)).withColumn("batch", F.explode(F.array("batch", F.col("batch") + 1)))
-    return drained(state.first_seen(fed(spark, staged(rows, F.col("batch"), 3), rows)), "append", without_data=False)
+    files = files_for(rows, 3)
+    return drained(state.first_seen(fed(spark, staged(rows, F.col("batch"), 3, files), rows, files), buckets=_buckets(spark, sf_dir, 2)), "append", without_data=False)
 
 
 @query(f"""

@@ -7,10 +7,16 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quernstone.sinks.files import shared_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; a batch writes what it changed, and doesn't look up whether a key is new to count them.
+STATE = {
+    "spark__sql__streaming__stateStore__providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
+    "spark__sql__streaming__stateStore__rocksdb__trackTotalNumberOfRows": "false",
+}
 
 
 @contextmanager
@@ -27,17 +33,39 @@ def configured(spark: SparkSession, **settings: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+#: Rows that a file of a feed holds, about.
+FILE_ROWS = 1 << 17
+#: Numbers the one row of a feed's file that is no event; so each file is written, however few rows a batch has.
+FILE = "_file"
+
+
+def files_for(frame: DataFrame, batches: int) -> int:
+    """Files a micro-batch, so that as many tasks write and read it as its rows ask for."""
+    return max(1, -(-frame.count() // (batches * FILE_ROWS)))
+
+
 def staged(frame: DataFrame, batch: Column, batches: int, files: int = 1, path: str | None = None, start: int = 0) -> str:
     """Writes the rows of batch `start`, then those of the next, and so on, each as `files` files, to a folder whose stream reads them in this order. Rows of no such batch are left out."""
     path = path or shared_path(frame.sparkSession, "feed")
+    marks = frame.sparkSession.range(files, numPartitions=1).select(F.col("id").cast("int").alias(FILE))
     for number in range(start, start + batches):
-        frame.where(batch == number).repartition(files).write.mode("append").parquet(path)
+        rows = frame.where(batch == number)
+        if files == 1:
+            rows = rows.repartition(1)
+        else:
+            dealt = rows.withColumns({FILE: F.lit(None).cast("int"), "_deal": F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int")})
+            marked = dealt.unionByName(marks.withColumn("_deal", F.col(FILE)), allowMissingColumns=True)
+            rows = marked.repartitionById(files, F.col("_deal")).drop("_deal")
+        rows.write.mode("append").parquet(path)
     return path
 
 
 def fed(spark: SparkSession, path: str, like: DataFrame, files: int = 1) -> DataFrame:
-    """The stream of a staged folder: a micro-batch reads `files` files."""
-    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files).parquet(path)
+    """The stream of a staged folder: a micro-batch reads `files` files, as many as were staged for it."""
+    stream = spark.readStream.option("maxFilesPerTrigger", files)
+    if files == 1:
+        return stream.schema(like.schema).parquet(path)
+    return stream.schema(T.StructType([*like.schema.fields, T.StructField(FILE, T.IntegerType())])).parquet(path).where(F.col(FILE).isNull()).drop(FILE)
 
 
 def quarters(events: DataFrame, batches: int = 4, time: str = "ts") -> Column:
@@ -66,7 +94,7 @@ def drained(frame: DataFrame, mode: str = "complete", path: str | None = None, s
     spark = frame.sparkSession
     path, state = path or shared_path(spark, "drained"), state or shared_path(spark, "state")
     writer = frame.writeStream.outputMode(mode).option("checkpointLocation", state).trigger(availableNow=True)
-    with configured(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB, spark__sql__streaming__noDataMicroBatches__enabled=str(without_data).lower()):
+    with configured(spark, **STATE, spark__sql__streaming__noDataMicroBatches__enabled=str(without_data).lower()):
         query = writer.format("parquet").option("path", path).start() if mode == "append" else writer.foreachBatch(batch_sink(path)).start()
         query.awaitTermination()
     if mode == "append":

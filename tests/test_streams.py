@@ -1,7 +1,9 @@
 """Streams over several micro-batches: late rows, eviction, restarts and retries."""
 
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from quernstone.sinks.files import shared_path
@@ -87,3 +89,68 @@ def test_a_retried_batch_counts_once(spark):
     assert {r.user_id: r.n for r in totals.collect()} == {1: 6, 2: 2, 3: 1, 4: 1, -1: 2}
     counts = drained(stream.groupBy("user_id").count()).collect()
     assert sorted((r.user_id, r["count"]) for r in counts) == [(-1, 2), (1, 6), (2, 2), (3, 1), (4, 1)]
+
+
+def test_a_feed_of_several_files_keeps_its_batches(spark):
+    rows = events(spark, ROWS)
+    path = staged(rows, F.col("batch"), 5, 3)
+    assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() == 15  # also of batches with fewer rows
+    got = drained(windows.clicks_and_views(fed(spark, path, rows, 3), fed(spark, path, rows, 3)), "append").where("click_id < 10").collect()
+    assert sorted((r.click_id, r.view_id) for r in got) == [(1, 0), (2, None), (4, 6), (5, None)]
+
+
+def test_users_of_a_bucket_and_nobody_have_state_of_their_own(spark):
+    nobody = [(0, 0, None, "view", 1.0), (0, 1, None, "view", 1.0)]
+    rows = events(spark, ROWS + nobody)
+    path = staged(rows, F.col("batch"), 5)
+    stream = fed(spark, path, rows)
+    sessions = drained(state.idle_sessions(stream, buckets=1), "append")
+    assert sessions_of(sessions) == SESSIONS
+    assert [(r.number, r.n_events) for r in sessions.where("user_id IS NULL").collect()] == [(1, 2)]
+    totals = drained(windows.running_totals(stream.select("user_id", "value"), 1), "update").groupBy("user_id").agg(F.max("n").alias("n"), F.max("cents").alias("cents"))
+    assert {r.user_id: (r.n, r.cents) for r in totals.collect()} == {1: (6, 1950), 2: (2, 200), 3: (1, 150), 4: (1, 0), -1: (2, 0), None: (2, 200)}
+    seen = drained(state.first_seen(stream, buckets=1), "append", without_data=False)
+    assert sorted((r.event_id, r.user_id) for r in seen.collect()) == [(i, r[2]) for i, r in enumerate(ROWS + nobody)]
+
+
+class Held:
+    """A value of state in memory that counts its calls."""
+
+    def __init__(self, calls):
+        self.calls, self.value = calls, None
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = None
+
+
+class Handle:
+    def __init__(self):
+        self.calls, self.timers = [], []
+
+    def getValueState(self, name, schema):
+        return Held(self.calls)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def test_a_thousand_users_cost_a_few_calls_of_the_store():
+    sessions, handle = state.IdleSessions(10), Handle()
+    sessions.init(handle)
+    frame = pd.DataFrame({"user": list(range(1000)) * 2, "at": pd.to_datetime([0] * 1000 + [5] * 1000, unit="us"), "cents": [1] * 2000})
+    list(sessions.handleInputRows((0,), iter([frame]), None))
+    (out,) = sessions.handleExpiredTimer((0,), SimpleNamespace(getCurrentWatermarkInMs=lambda: 1), None)
+    assert len(out) == 1000 and set(out["n_events"]) == {2} and handle.timers == [1] and len(handle.calls) < 10
