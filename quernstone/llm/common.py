@@ -82,14 +82,19 @@ def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # only glibc has it
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            tidy()
 
     return wrapped
 
 
+def tidy() -> None:
+    """Gives back the memory that this process no longer uses."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 #: Paths that were handed out within cleaning(), innermost last.
 _made: list[list[str]] = []
 

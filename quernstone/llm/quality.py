@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.common import discard, only, places, settle, text_chunks, tidied
+from quernstone.llm.common import discard, only, places, settle, text_chunks, tidied, tidy
 
 BITS, GRAMS = 18, (3, 4)
 CELLS = 1 << BITS
@@ -158,7 +158,11 @@ def train(frame: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             learned.append((r.id, r.label, r.text))
     discard(rows)
     learned.sort()
-    return SubwordClassifier(**settings).fit([r[2] for r in learned], [r[1] for r in learned])
+    try:
+        return SubwordClassifier(**settings).fit([r[2] for r in learned], [r[1] for r in learned])
+    finally:
+        learned.clear()
+        tidy()  # the driver would hold the features of the sample during all later stages
 
 
 def score(frame: DataFrame, model: SubwordClassifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -105,3 +105,13 @@ def test_frames(spark):
     assert quality.score(docs.limit(0), model).collect() == []
     nothing = quality.train(docs, labels.limit(0))
     assert {r.score for r in quality.score(docs, nothing).collect() if r.doc_id in (900, 901)} == {0.5}
+
+
+def test_training_gives_the_drivers_memory_back(spark, monkeypatch):
+    """What the sample's features took on the driver is given back once the model is learned."""
+    calls = []
+    monkeypatch.setattr(quality, "tidy", lambda: calls.append("tidy"))
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    model = quality.train(docs, labels, epochs=1)
+    assert model.table.any() and calls == ["tidy"]
