@@ -75,6 +75,8 @@ def build(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     source = source.where(F.size("v") == common.length)
     cells = min(CELLS, cells or math.ceil(math.sqrt(common.n)), common.n)
     chosen = source if common.n <= sample else source.sample(sample / common.n, seed)
-    fitted = KMeans(k=cells, seed=seed, maxIter=20).fit(chosen.select(array_to_vector("v").alias("features")))
-    centres = np.array(fitted.clusterCenters())
+    chosen = chosen.select(array_to_vector("v").alias("features")).persist()
+    # the row solver collects the distances between all centres in each round, with a task for each centre; the block solver collects only centres
+    centres = np.array(KMeans(k=cells, seed=seed, maxIter=20, solver="block").fit(chosen).clusterCenters())
+    chosen.unpersist()
     return VectorIndex(settled(source.withColumn("cell", F.element_at(_cells(centres, 1)(F.col("v")), 1)), "index"), centres)

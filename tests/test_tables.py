@@ -4,6 +4,8 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from quernstone.operators import sketches
@@ -81,6 +83,24 @@ def test_the_index_holds_every_row_and_is_exact_with_all_cells(spark, vectors):
     assert len(found & wanted) >= 0.9 * len(wanted)
 
 
+def test_a_fit_sends_the_driver_centres_but_not_their_distances(spark):
+    """A stage with a task for each centre collects the distances to all others: the square of the cells."""
+    draw = np.random.default_rng(5)
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(draw.normal(size=(1200, 8)).tolist())], "vec_id long, embedding array<double>")
+    spark.sparkContext.setJobGroup("fit", "index")
+    try:
+        centres = build(rows, cells=400).centres
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("fit") for s in tracker.getJobInfo(j).stageIds}
+        tasks = [found.numTasks for s in stages if (found := tracker.getStageInfo(s))]
+    finally:
+        for key in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(key, None)
+    assert len(centres) == 400 and tasks and max(tasks) < 100
+    plain = KMeans(k=400, seed=7, maxIter=20, solver="row").fit(rows.select(array_to_vector("embedding").alias("features")))
+    assert np.allclose(centres, plain.clusterCenters(), atol=1e-9)
+
+
 def test_long_lists_are_cut(spark, vectors, monkeypatch):
     from quernstone.operators import vector_index
 
