@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quernstone.operators.groups import sessions, top_k
-from quernstone.operators.joins import asof_join, interval_join, overlap_join
+from quernstone.operators.joins import asof_join, band_join, interval_join, overlap_join
 from quernstone.operators.vectors import nearest
 from quernstone.plans import registry
 from quernstone.sinks.files import FORMATS, round_trip
@@ -145,6 +145,37 @@ def test_a_full_bucket_of_few_rows_meets_in_many_tasks(spark):
     assert len({r.task for r in found}) > 1
 
 
+def test_near_prices_shuffles_and_stores_few_bytes(spark, tmp_path, monkeypatch):
+    """Of many equal prices, the result is large; what is shuffled and written is about the input."""
+    from quernstone.operators import joins
+
+    stored = []
+    monkeypatch.setattr(joins, "settled", lambda f, name, settled=joins.settled: stored.append(settled(f, name)) or stored[-1])
+    spark.range(4_000).select(F.col("id").alias("p_partkey"), (900 + F.col("id") % 20 / 10).alias("p_retailprice")).write.parquet(str(tmp_path / "part.parquet"))
+    found = registry.QUERIES["near_prices"](spark, str(tmp_path))
+    prices = [900 + i % 20 / 10 for i in range(4_000)]
+    alike = {(a, b): prices[a] - 0.25 <= prices[b] <= prices[a] + 0.25 for a in range(20) for b in range(20)}
+    want = {(i, j) for i in range(4_000) for j in range(i + 1, 4_000) if alike[i % 20, j % 20]}
+    got = [tuple(r) for r in found.select("part", "near_part").toPandas().itertuples(index=False)]
+    assert len(got) == len(want) and set(got) == want
+    assert sum(f.count() for f in stored) <= 8_000
+
+
+@pytest.mark.parametrize("tile", [1 << 15, 8, 3])
+@pytest.mark.parametrize("order", [None, ("i", "j")])
+def test_band_join_against_all_pairs(spark, order, tile):
+    """Nulls, ties, endless and empty bands; NaN is the largest number and its own equal, as in SQL."""
+    draw = random.Random(10)
+    held = [(low, high, j) for _, low, high, j in spans(draw, 120)] + [(float("nan"), float("nan"), 120), (90.0, float("nan"), 121), (float("inf"), float("inf"), None)]
+    points = [(draw.choice([None, draw.uniform(-50, 150), 50.0, 50.0, float("inf"), float("nan")]), i) for i in range(150)]
+    left, right = spark.createDataFrame(points, "t double, i long"), spark.createDataFrame(held, "low double, high double, j long")
+    got = band_join(left, right, F.col("t"), F.col("low"), F.col("high"), order, tile).select("i", "j").collect()
+    at = lambda x: (x != x, 0 if x != x else x)
+    want = [(i, j) for t, i in points for low, high, j in held if None not in (t, low, high) and at(low) <= at(t) <= at(high) and (order is None or (j is not None and j < i))]
+    assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, want)) != []
+    assert band_join(left.limit(0), right, F.col("t"), F.col("low"), F.col("high"), order, tile).collect() == []
+
+
 @pytest.mark.parametrize(("tile", "parts"), [(1 << 15, 4), (8, 5), (3, 1)])
 @pytest.mark.parametrize("by", [[], [("k", "q")]])
 def test_overlap_join_against_all_pairs(spark, by, tile, parts):
